@@ -39,7 +39,7 @@ def fit_categories(df: DataFrame, columns: Sequence[str], rows_per_task: int = R
     if counted.rows > rows_per_task:
         cuts = fit_range_cuts(counted.table, ["column_name"], order, rows_per_task=rows_per_task)
     numbered = number_rows(counted.table, ["column_name"], order, "idx", cuts)
-    return freeze(numbered.withColumn("idx", (F.col("idx") - 1).cast("double")), "label-index")
+    return freeze(numbered.withColumn("idx", (F.col("idx") - 1).cast("double")), "label-index", counted.rows)
 
 
 def _one_column(fitted: FittedTable, column: str) -> FittedTable:

@@ -73,7 +73,7 @@ def split_stratified(
         .filter(F.col("place") == F.col("take"))
         .select(F.col("s").alias("stratum"), "n", F.struct("digest", "id").alias("__last"))
     )
-    limits = freeze(last_keys, "quota-keys")
+    limits = freeze(last_keys, "quota-keys", last_bins.rows)
     found = lookup(df, limits, {stratum: "stratum"})
     own = F.struct(digest.alias("digest"), quoted(key).alias("id"))
     side = F.when(own <= F.col("__last"), "train").otherwise("test")

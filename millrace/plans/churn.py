@@ -8,9 +8,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.learning import evaluate, logistic_regression, score, staged_classifier
+from millrace.operators.learning import evaluate, logistic_regression, score, spread, staged_classifier
 from millrace.operators.quality import blank_to_number, cast_to_double, drop_missing
 from millrace.operators.sampling import split_by_hash
+from millrace.workspace import stage, staged
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,8 @@ def run_churn(df: DataFrame, plan: ChurnPlan = CHURN) -> tuple[PipelineModel, Da
     parts = split_by_hash(prepare(df, plan), plan.key, plan.train_percent)
     classifier = logistic_regression("features", "label", maxIter=100, regParam=0.0)
     stages = staged_classifier(plan.categorical, plan.numeric, plan.label, classifier)
-    model = stages.fit(parts.filter(F.col("part") == "train"))
-    test = parts.filter(F.col("part") == "test")
-    scored = score(model, test).select(plan.key, "label", "prediction", "probability_1")
-    return model, scored, evaluate(scored, "label")
+    with staged(spread(parts), "churn-rows") as rows:
+        model = stages.fit(rows.filter(F.col("part") == "train"))
+        scored = score(model, rows.filter(F.col("part") == "test"))
+        predictions = stage(scored.select(plan.key, "label", "prediction", "probability_1"), "churn-predictions")
+    return model, predictions, evaluate(predictions, "label")

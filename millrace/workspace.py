@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Fitted tables up to this many rows are embedded in the plan; larger ones are staged.
+#: Fitted tables up to this many rows are embedded in the plan; larger ones stay files.
 EMBED_ROWS = 10_000
 
 
@@ -29,10 +31,22 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once and continue from the written table (cuts the lineage)."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
+    path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """A staged table that is deleted on leaving; nothing lazy may outlive it."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        context = df.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @dataclass(frozen=True)
@@ -43,14 +57,20 @@ class FittedTable:
     rows: int
 
 
-def freeze(df: DataFrame, purpose: str, embed_rows: int = EMBED_ROWS) -> FittedTable:
-    """Evaluate a learned table once.
+def freeze(df: DataFrame, purpose: str, at_most: int | None = None) -> FittedTable:
+    """Evaluate a learned table once, and find out how large it is.
 
-    At most ``embed_rows + 1`` rows reach the driver: a table within the bound becomes
-    a local relation inside the plan, a larger one is staged and counted where it lies.
+    It is staged, and counted where it lies.  A table of at most ``EMBED_ROWS`` rows then
+    becomes a local relation inside the plans that use it.  If the caller knows such
+    a bound already (``at_most``), the rows are fetched without staging.
     """
-    head = df.limit(embed_rows + 1).toArrow()
-    if head.num_rows <= embed_rows:
-        return FittedTable(df.sparkSession.createDataFrame(head, schema=df.schema), head.num_rows)
-    staged = stage(df, purpose)
-    return FittedTable(staged, staged.count())
+    if at_most is not None and at_most <= EMBED_ROWS:
+        return _embedded(df, df)
+    table = stage(df, purpose)
+    rows = table.count()
+    return _embedded(table, df) if rows <= EMBED_ROWS else FittedTable(table, rows)
+
+
+def _embedded(small: DataFrame, like: DataFrame) -> FittedTable:
+    rows = small.toArrow()
+    return FittedTable(like.sparkSession.createDataFrame(rows, schema=like.schema), rows.num_rows)
