@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import is_missing, quoted
@@ -47,8 +47,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _native_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     values = {c: F.when(~is_missing(quoted(c).cast("double")), quoted(c).cast("double")) for c in columns}
+
+    def correlation(a: Column, b: Column) -> Column:
+        # F.corr divides by zero, an error in ANSI mode, if a column does not vary.
+        spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+        return F.try_divide(F.covar_pop(a, b), spread)
+
     pairs = [
-        F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), F.nanvl(F.corr(values[a], values[b]), F.lit(None)).alias("corr"))
+        F.struct(F.lit(i).alias("a"), F.lit(j).alias("b"), correlation(values[a], values[b]).alias("corr"))
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
         if i <= j
@@ -94,6 +100,11 @@ def _moment_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
     )
     n, x, y = F.col("n"), F.col("x"), F.col("y")
-    spread = (n * F.col("xx") - x * x) * (n * F.col("yy") - y * y)
-    corr = F.when(spread > 0, (n * F.col("xy") - x * y) / F.sqrt(spread))
-    return summed.select("a", "b", corr.alias("corr"))
+
+    def variation(square: Column, total: Column) -> Column:
+        """Zero for a column that does not vary, whatever rounding has left of it."""
+        rest = n * square - total * total
+        return F.when(rest > 1e-12 * n * square, rest)
+
+    spread = F.sqrt(variation(F.col("xx"), x)) * F.sqrt(variation(F.col("yy"), y))
+    return summed.select("a", "b", F.try_divide(n * F.col("xy") - x * y, spread).alias("corr"))

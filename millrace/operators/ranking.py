@@ -31,8 +31,15 @@ def order_columns(order_by: Sequence[str]) -> list[Column]:
 
 
 def _order_key(order_by: Sequence[str]) -> Column:
-    """A struct that compares like ``order_by``; falling numeric columns are negated."""
-    parts = [-quoted(name[1:]) if name.startswith("-") else quoted(name) for name in order_by]
+    """A struct that compares like ``order_by``: NULL first and NaN last when rising, and
+    the other way round when falling, for which numbers are negated."""
+    parts: list[Column] = []
+    for name in order_by:
+        if name.startswith("-"):
+            c = quoted(name[1:])
+            parts += [c.isNull(), ~F.isnan(c), -c]
+        else:
+            parts.append(quoted(name))
     return F.struct(*[part.alias(f"o{i}") for i, part in enumerate(parts)])
 
 
