@@ -7,7 +7,7 @@ projections and lookups that also work on new data and on streams.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -39,11 +39,11 @@ def fit_categories(df: DataFrame, columns: Sequence[str], rows_per_task: int = R
     if counted.rows > rows_per_task:
         cuts = fit_range_cuts(counted.table, ["column_name"], order, rows_per_task=rows_per_task)
     numbered = number_rows(counted.table, ["column_name"], order, "idx", cuts)
-    return freeze(numbered.withColumn("idx", (F.col("idx") - 1).cast("double")), "label-index", counted.rows)
+    return freeze(numbered.withColumn("idx", (F.col("idx") - 1).cast("double")), "label-index", counted)
 
 
 def _one_column(fitted: FittedTable, column: str) -> FittedTable:
-    return FittedTable(fitted.table.filter(F.col("column_name") == column).drop("column_name"), fitted.rows)
+    return replace(fitted, table=fitted.table.filter(F.col("column_name") == column).drop("column_name"))
 
 
 def _as_label(df: DataFrame, column: str) -> tuple[DataFrame, str]:
@@ -67,7 +67,7 @@ def index_categories(
     for column, output in outputs.items():
         keyed, key = _as_label(df, column)
         one = _one_column(fitted, column)
-        renamed = FittedTable(one.table.withColumnRenamed("idx", output), one.rows)
+        renamed = replace(one, table=one.table.withColumnRenamed("idx", output))
         found = lookup(keyed, renamed, {key: "label"})
         if invalid == "skip":
             found = found.filter(F.col(output).isNotNull())
@@ -98,7 +98,7 @@ def encode_targets(
         one = _one_column(fitted, column)
         mean = F.lit(overall.get(column))
         blended = (F.col("total") + F.lit(float(smoothing)) * mean) / (F.col("n") + F.lit(float(smoothing)))
-        encoded = FittedTable(one.table.select("label", "n", blended.alias("__mean")), one.rows)
+        encoded = replace(one, table=one.table.select("label", "n", blended.alias("__mean")))
         keyed, key = _as_label(df, column)
         found = lookup(keyed, encoded, {key: "label"})
         df = found.withColumn(output, F.coalesce(F.col("__mean"), mean)).drop("__mean", key)
@@ -113,11 +113,11 @@ def fit_class_weights(df: DataFrame, label: str) -> FittedTable:
     counted = freeze(df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n")), "class-counts")
     total, classes = counted.table.agg(F.sum("n"), F.count(F.lit(1))).first()
     weight = F.lit(float(total or 0)) / (F.lit(float(classes)) * F.col("n"))
-    return FittedTable(counted.table.withColumn("weight", weight), counted.rows)
+    return replace(counted, table=counted.table.withColumn("weight", weight))
 
 
 def add_class_weights(df: DataFrame, fitted: FittedTable, label: str, output: str = "class_weight") -> DataFrame:
-    weights = FittedTable(fitted.table.withColumnRenamed("weight", output), fitted.rows)
+    weights = replace(fitted, table=fitted.table.withColumnRenamed("weight", output))
     return lookup(df, weights, {label: "label"})
 
 

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import quoted
-from millrace.workspace import FittedTable
+from millrace.workspace import BROADCAST_BYTES, FittedTable
 
-#: Learned tables up to this many rows are broadcast; their count is known, not guessed.
+#: A learned table up to this many rows (and ``BROADCAST_BYTES``) is broadcast.
 BROADCAST_ROWS = 200_000
-#: A key holding more than one row in this many is joined by broadcast in any case.
+#: A key holding more than one row in this many is joined by broadcast in any case,
+#: unless the key itself is long.
 HEAVY_SHARE = 1_000
+HEAVY_KEY_BYTES = 10_000
 
 
 def lookup(
@@ -28,8 +30,8 @@ def lookup(
 ) -> DataFrame:
     """Left-join a learned table; ``keys`` maps columns of ``df`` to columns of the table.
 
-    NULL keys match a NULL entry.  A table within ``broadcast_rows`` is broadcast.  In a
-    larger one the heavy keys (by the ``weight`` column, at most ``HEAVY_SHARE`` of
+    NULL keys match a NULL entry.  A table whose measured extent is small is broadcast.  In
+    a larger one the heavy keys (by the ``weight`` column, at most ``HEAVY_SHARE`` of
     them) are still broadcast, so that only the many light keys are shuffled.
     """
     unused = [] if keep_weight else [weight]
@@ -38,11 +40,12 @@ def lookup(
     pairs = [(left, renamed[right]) for left, right in keys.items()]
     on = reduce(lambda a, b: a & b, [quoted(left).eqNullSafe(F.col(right)) for left, right in pairs])
     marker = "__found"
-    if fitted.rows <= broadcast_rows:
+    if fitted.rows <= broadcast_rows and fitted.size <= BROADCAST_BYTES:
         return df.join(F.broadcast(table.drop(*unused)), on, "left").drop(*renamed.values())
     total = table.agg(F.sum(weight)).first()[0]
     any_null = reduce(lambda a, b: a | b, [F.col(right).isNull() for _, right in pairs])
-    is_heavy = (F.col(weight) * HEAVY_SHARE > F.lit(total)) | any_null
+    key_bytes = F.octet_length(F.to_json(F.struct(*[F.col(right) for _, right in pairs])))
+    is_heavy = ((F.col(weight) * HEAVY_SHARE > F.lit(total)) & (key_bytes <= HEAVY_KEY_BYTES)) | any_null
     heavy = table.filter(is_heavy).drop(*unused).withColumn(marker, F.lit(True))
     light = table.filter(~is_heavy).drop(*unused)
     null_key = reduce(lambda a, b: a | b, [quoted(left).isNull() for left, _ in pairs])

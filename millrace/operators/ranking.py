@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import quoted
-from millrace.workspace import stage
+from millrace.workspace import BROADCAST_BYTES, measure, stage
 
 #: Rows of one group that a single task may sort.
 ROWS_PER_TASK = 4_000_000
@@ -98,9 +98,11 @@ def fit_range_cuts(
     chance = F.lit(float(SAMPLES_PER_RANGE)) * F.col("ranges") / F.col("size")
     sample = _attach(keyed, large, names, "inner").filter(F.rand(seed) < chance)
     place = F.row_number().over(Window.partitionBy(*names).orderBy("key"))
-    picked = sample.withColumn("place", place).filter(F.col("place") % SAMPLES_PER_RANGE == 0)
+    spaced = stage(sample.withColumn("place", place).filter(F.col("place") % SAMPLES_PER_RANGE == 0), "range-cuts")
+    # Long keys: cut less often, so that the cuts can still be broadcast.
+    thinning = SAMPLES_PER_RANGE * max(1, -(-measure(spaced)[1] // BROADCAST_BYTES))
     cuts = F.array_sort(F.array_distinct(F.collect_list("key"))).alias("cuts")
-    table = stage(picked.groupBy(*names).agg(cuts), "range-cuts")
+    table = spaced.filter(F.col("place") % thinning == 0).groupBy(*names).agg(cuts)
     longest = table.agg(F.max(F.size("cuts"))).first()[0]
     return RangeCuts(table, tuple(partition_by), tuple(order_by), longest) if longest else None
 

@@ -10,12 +10,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Fitted tables up to this many rows are embedded in the plan; larger ones stay files.
+#: Learned tables within both limits are embedded in the plan; larger ones stay files.
 EMBED_ROWS = 10_000
+EMBED_BYTES = 8 << 20
+#: Learned tables within this measured size may be broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -49,28 +53,39 @@ def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows, and their size as text, which bounds what a broadcast of them would hold."""
+    size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows, total or 0
+
+
 @dataclass(frozen=True)
 class FittedTable:
-    """A learned lookup table together with its proven row count."""
+    """A learned lookup table together with its measured extent."""
 
     table: DataFrame
     rows: int
+    size: int
+
+    @property
+    def embeds(self) -> bool:
+        return self.rows <= EMBED_ROWS and self.size <= EMBED_BYTES
 
 
-def freeze(df: DataFrame, purpose: str, at_most: int | None = None) -> FittedTable:
+def freeze(df: DataFrame, purpose: str, like: FittedTable | None = None) -> FittedTable:
     """Evaluate a learned table once, and find out how large it is.
 
-    It is staged, and counted where it lies.  A table of at most ``EMBED_ROWS`` rows then
-    becomes a local relation inside the plans that use it.  If the caller knows such
-    a bound already (``at_most``), the rows are fetched without staging.
+    It is staged, and measured where it lies.  If small, it then becomes a local relation
+    inside the plans that use it.  A table derived row by row from one that is known
+    to be small (``like``) is fetched without staging.
     """
-    if at_most is not None and at_most <= EMBED_ROWS:
-        return _embedded(df, df)
+    if like is not None and like.embeds:
+        return FittedTable(_embedded(df), like.rows, like.size)
     table = stage(df, purpose)
-    rows = table.count()
-    return _embedded(table, df) if rows <= EMBED_ROWS else FittedTable(table, rows)
+    found = FittedTable(table, *measure(table))
+    return replace(found, table=_embedded(table)) if found.embeds else found
 
 
-def _embedded(small: DataFrame, like: DataFrame) -> FittedTable:
-    rows = small.toArrow()
-    return FittedTable(like.sparkSession.createDataFrame(rows, schema=like.schema), rows.num_rows)
+def _embedded(small: DataFrame) -> DataFrame:
+    return small.sparkSession.createDataFrame(small.toArrow(), schema=small.schema)

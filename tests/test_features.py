@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from millrace.operators import features, lookup, metrics, profile, sampling
-from millrace.workspace import FittedTable
+from millrace.workspace import BROADCAST_BYTES, FittedTable, measure
 
 quick = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -61,9 +63,9 @@ def test_lookup_beyond_the_broadcast_limit(spark):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, id int").repartition(4)
     table = df.filter("k <> 'new'").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("value"))
     for source in (table, table.filter("k IS NOT NULL")):
-        fitted = FittedTable(source, source.count())
+        fitted = FittedTable(source, *measure(source))
         broadcast = lookup.lookup(df, fitted, {"k": "k"})
-        shuffled = lookup.lookup(df, fitted, {"k": "k"}, broadcast_rows=10)
+        shuffled = lookup.lookup(df, replace(fitted, size=BROADCAST_BYTES + 1), {"k": "k"})
         assert sorted(map(str, broadcast.collect())) == sorted(map(str, shuffled.collect()))
         assert shuffled.count() == len(keys)
 

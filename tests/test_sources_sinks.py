@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from millrace import sinks, sources
 from millrace.operators import columns
-from millrace.workspace import EMBED_ROWS, freeze, shared_dir, staged
+from millrace.workspace import EMBED_BYTES, EMBED_ROWS, freeze, shared_dir, staged
 
 
 def write(tmp_path, name, text):
@@ -112,8 +112,12 @@ def test_inline_tables(spark):
 def test_frozen_tables_are_embedded_or_staged(spark):
     small = freeze(spark.range(5).toDF("x"), "small")
     assert small.rows == 5 and "LocalRelation" in small.table._jdf.queryExecution().optimizedPlan().toString()
-    large = freeze(spark.range(EMBED_ROWS + 1).toDF("x"), "large")
-    assert large.rows == EMBED_ROWS + 1 and large.table.inputFiles()
+    many = freeze(spark.range(EMBED_ROWS + 1).toDF("x"), "many")
+    assert many.rows == EMBED_ROWS + 1 and many.table.inputFiles()
+    wide = freeze(spark.range(9).select(F.repeat(F.lit("x"), 1 << 20).alias("x")), "wide")
+    assert wide.rows == 9 and wide.size > EMBED_BYTES and wide.table.inputFiles()
+    derived = freeze(small.table.withColumn("y", F.lit(1)), "derived", small)
+    assert (derived.rows, derived.table.count()) == (5, 5)
     assert shared_dir(spark, "p").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
