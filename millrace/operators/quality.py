@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import blank_as_null, bounded, infinite_as, is_infinite, is_missing, quoted, to_double
@@ -116,8 +116,9 @@ def duplicate_report(df: DataFrame) -> DataFrame:
 def step_report(df: DataFrame, keep: Column) -> DataFrame:
     """Rows read, rows kept by the filter, and rows left after removing duplicates.
 
-    Counted by an aggregation rather than by accumulators, so the numbers stay right
-    when tasks are run again after losing an executor.
+    Counted by an aggregation rather than by ``DataFrame.observe``: observed counts grow
+    when tasks run again after losing an executor, and a session that has observed
+    once can no longer ship models that carry a training summary to its executors.
     """
     kept = F.coalesce(keep, F.lit(False))
     flagged = df.withColumn("__kept", kept)
@@ -140,15 +141,6 @@ def step_report(df: DataFrame, keep: Column) -> DataFrame:
     )
 
 
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count rows in passing, for the log: ``observation.get["rows"]`` after an action.
-
-    Re-run tasks can count twice; use ``step_report`` where the number matters.
-    """
-    observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
-
-
 @dataclass(frozen=True)
 class Bounds:
     """Capping limits of one column; ``None`` where the column held no value."""

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Learned tables within both limits are embedded in the plan; larger ones stay files.
@@ -53,20 +53,16 @@ def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _measures() -> tuple[Column, Column]:
+def measure(df: DataFrame) -> tuple[int, int]:
     """Rows, and their size as text, which bounds what a broadcast of them would hold."""
     size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")
-    return F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("size")
-
-
-def measure(df: DataFrame) -> tuple[int, int]:
-    rows, size = df.agg(*_measures()).first()
-    return rows, size
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows, total or 0
 
 
 @dataclass(frozen=True)
 class FittedTable:
-    """A learned lookup table, with upper bounds of its rows and of their size in bytes."""
+    """A learned lookup table together with its measured rows and bytes."""
 
     table: DataFrame
     rows: int
@@ -80,16 +76,14 @@ class FittedTable:
 def freeze(df: DataFrame, purpose: str, like: FittedTable | None = None) -> FittedTable:
     """Evaluate a learned table once, and find out how large it is.
 
-    It is staged, and measured in passing: tasks that run again count again, so the
-    measures are upper bounds.  If small, it becomes a local relation inside the plans
-    that use it.  A table derived row by row from one that is known to be small
-    (``like``) is fetched without staging.
+    It is staged, and measured where it lies.  If small, it then becomes a local relation
+    inside the plans that use it.  A table derived row by row from one that is known
+    to be small (``like``) is fetched without staging.
     """
     if like is not None and like.embeds:
         return FittedTable(_embedded(df), like.rows, like.size)
-    observation = Observation(f"extent-{uuid.uuid4().hex}")
-    table = stage(df.observe(observation, *_measures()), purpose)
-    found = FittedTable(table, observation.get["rows"], observation.get["size"])
+    table = stage(df, purpose)
+    found = FittedTable(table, *measure(table))
     return replace(found, table=_embedded(table)) if found.embeds else found
 
 

@@ -96,12 +96,6 @@ def test_step_report_counts_missing_keys_as_dropped(spark):
     assert rows == [("drop_missing", 3, 2, 1), ("drop_duplicates", 2, 1, 1)]
 
 
-def test_observed_rows(spark):
-    observed, observation = quality.observe_rows(spark.range(7), "seen")
-    observed.collect()
-    assert observation.get["rows"] == 7
-
-
 def test_buckets_are_half_open_and_keep_null(spark):
     df = spark.createDataFrame([(0,), (10,), (19,), (20,), (None,)], "v int")
     named = df.select(bucket(F.col("v"), (10, 20), ("low", "mid", "high")).alias("b"))
