@@ -109,11 +109,11 @@ def dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "dedup_subset",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
-       QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1""",
+       QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity) = 1""",
 )
 def dedup_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*KEYS, "l_partkey", "l_suppkey", "l_quantity")
-    return quality.keep_first(lines, KEYS, ["l_partkey", "l_suppkey"])
+    return quality.keep_first(lines, KEYS, ["l_partkey", "l_suppkey", "l_quantity"])
 
 
 @query(
