@@ -35,7 +35,7 @@ from .frames import keyed, ranged
 
 ANCHORS = "g bigint, _k bigint, _h bigint, pos int"
 REFS = "_k bigint, _h bigint, pos int, rpos int, rk bigint, rh bigint"
-WINDOWS = "w1 bigint, w2 bigint, _k bigint, _h bigint, pos int"
+WINDOWS = "g bigint, _k bigint, _h bigint, pos int, w1 array<bigint>, w2 array<bigint>"
 KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_words_sha256 string"
 
 
@@ -145,7 +145,8 @@ def _boundary(window: int) -> Callable:
                 n = len(words) - window + 1
                 if n < 1:
                     continue
-                least = tk.minimizers(tk.window_hash(words, gram), window - gram + 1)[:n]
+                grams = tk.window_hash(words, gram)
+                least = tk.minimizers(grams, window - gram + 1)[:n]
                 open_ = np.zeros(n, bool)
                 for i in range(len(part)):
                     own = tk.list_column(refs, part.first + i)
@@ -159,21 +160,43 @@ def _boundary(window: int) -> Callable:
                 at = np.flatnonzero(open_)
                 if not len(at):
                     continue
-                row = tk.repeat_rows(rows, at)
+                cut = np.r_[True, (at[1:] != at[:-1] + 1) | (least[at[1:]] != least[at[:-1]])]
+                head = np.flatnonzero(cut)
+                lists = pa.array(np.r_[head, len(at)].astype(np.int32))
+                row = tk.repeat_rows(rows, at[head])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        tk.signed(tk.window_hash(words, window, 1)[at]),
-                        tk.signed(tk.window_hash(words, window, 2)[at]),
+                        tk.signed(grams[least[at[head]]]),
                         pa.array(k[part.first + row]),
                         pa.array(h[part.first + row]),
-                        pa.array((at - rows[row]).astype(np.int32)),
+                        pa.array((at[head] - rows[row]).astype(np.int32)),
+                        pa.ListArray.from_arrays(lists, tk.signed(tk.window_hash(words, window, 1)[at])),
+                        pa.ListArray.from_arrays(lists, tk.signed(tk.window_hash(words, window, 2)[at])),
                     ],
-                    names=["w1", "w2", "_k", "_h", "pos"],
+                    names=["g", "_k", "_h", "pos", "w1", "w2"],
                 )
 
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by anchor those whose anchor another row has too; rows at the
+    edges of the partition stay, for their run may go on beyond it."""
+    held, held_shared = None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        g = whole.column("g").to_numpy()
+        same = g[1:] == g[:-1]
+        shared = np.r_[held_shared, same]
+        shared[:-1] |= same
+        held, held_shared = whole.slice(len(g) - 1), bool(shared[-1])
+        yield whole.filter(pa.array(shared)).slice(0, int(shared[:-1].sum()))
+    if held is not None:
+        yield held
+
+
 def _cut(window: int) -> Callable:
     gram = _gram(window)
 
@@ -228,16 +251,18 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     refs = links.groupBy("_k", "_h").agg(
         F.sort_array(F.collect_list(F.struct("pos", "rpos", "rk", "rh"))).alias("refs")
     )
-    parsed = base.join(refs, ["_k", "_h"], "left")
-    boundary = (
-        parsed.filter("refs is not null").select("text", "_k", "_h", "refs").mapInArrow(_boundary(window), WINDOWS)
+    parsed = base.join(refs, ["_k", "_h"], "left").select("doc_id", "text", "_k", "_h", "refs")
+    boundary = ranged(parsed.mapInArrow(_boundary(window), WINDOWS), "g", "_k", "_h", "pos")
+    both = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.size("w1") - 1).alias("i"), "w1", "w2")).alias("w")
+    windows = (
+        boundary.mapInArrow(_shared, WINDOWS)
+        .select("_k", "_h", "pos", both)
+        .select("w.w1", "w.w2", "_k", "_h", (F.col("pos") + F.col("w.i")).alias("pos"))
     )
     at = F.struct("_k", "_h", "pos")
-    first = (
-        boundary.groupBy("w1", "w2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter("first < last")
-    )
+    first = windows.groupBy("w1", "w2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     later = (
-        boundary.join(first.drop("last"), ["w1", "w2"])
+        windows.join(first.drop("n"), ["w1", "w2"])
         .filter(F.col("first") < at)
         .groupBy("_k", "_h")
         .agg(F.collect_list("pos").alias("later"))
