@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, substring
+from . import near, quality, substring
 from .frames import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(documents(spark, sf_dir), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.col("kept_words_sha256").alias("kept_sha256"))
+
+
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir), near.Near(shingle=3, num=85, den=100))
