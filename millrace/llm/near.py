@@ -10,8 +10,8 @@
 4. Survivors are confirmed on their full sets, and confirmed links joined to components.
 5. Buckets that still hold several components are compared all against all inside the
    tasks, in blocks of bounded size, across components only; what survives the same
-   pruning is confirmed too.  Members of one component need no more links, so that a
-   group of thousands of copies never becomes all of its pairs.
+   pruning is confirmed on the spot, and a link makes two components one for the rest of
+   the block.  So pairs are never written, and a block gives fewer links than members.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a text
 with fewer words than a shingle is one shingle; null ids come before all others, and a
@@ -38,7 +38,7 @@ from .frames import LEAST, keyed
 
 BATCH = 16
 #: Members of a bucket that meet in one task, in the all-against-all step.
-BLOCK = 1024
+BLOCK = 512
 U64 = np.uint64
 
 
@@ -172,6 +172,13 @@ def _prune(conf: Near) -> Callable:
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray, conf: Near) -> bool:
+    if not conf.den * min(len(x), len(y)) >= conf.num * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return conf.den * shared >= conf.num * (len(x) + len(y) - shared)
+
+
 def _confirm(conf: Near) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,8 +187,7 @@ def _confirm(conf: Near) -> Callable:
                 sets.append([s for part in tk.slices(batch.column(name)) for s in shingle_sets(part, conf.shingle)])
             linked = []
             for x, y in zip(*sets):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(conf.den * shared >= conf.num * (len(x) + len(y) - shared))
+                linked.append(_similar(x, y, conf))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return run
@@ -209,21 +215,33 @@ def runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
 
 
 def _across(conf: Near) -> Callable:
-    """All pairs of a block that lie in different components and survive the pruning."""
+    """Confirmed links of a block between different components, each pair of components
+    joined at most once: what survives the pruning is checked on full sets at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["key", "ci", "cj"]):
-            node, label = group.column("node").to_numpy(), group.column("label").to_numpy()
-            sigs = _matrix(group.column("sig"), conf.hashes)
-            out: list[np.ndarray] = []
+            node, label = group.column("node").to_numpy(), group.column("label").to_numpy().copy()
+            sigs, text = _matrix(group.column("sig"), conf.hashes), group.column("text")
+            sets: dict[int, np.ndarray] = {}
+
+            def full(i: int) -> np.ndarray:
+                if i not in sets:
+                    (sets[i],) = (s for part in tk.slices(text.slice(i, 1)) for s in shingle_sets(part, conf.shingle))
+                return sets[i]
+
+            links: list[tuple[int, int]] = []
             for i in range(len(node) - 1):
                 other = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
-                if len(other):
-                    fine = other[alive(np.broadcast_to(sigs[i], (len(other), conf.hashes)), sigs[other], conf)]
-                    out.append(np.stack([np.full(len(fine), node[i]), node[fine]]))
-            if out:
-                a, b = np.concatenate(out, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                if not len(other):
+                    continue
+                near = other[alive(np.broadcast_to(sigs[i], (len(other), conf.hashes)), sigs[other], conf)]
+                for j in near.tolist():
+                    if label[j] != label[i] and _similar(full(i), full(j), conf):
+                        links.append((node[i], node[j]))
+                        label[label == label[j]] = label[i]
+            if links:
+                a, b = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -271,15 +289,16 @@ def near_duplicates(docs: DataFrame, conf: Near = Near()) -> DataFrame:
         .withColumn("blocks", blocks)
         .select("key", "node", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
         .select("key", "node", "label", F.least("own", other).alias("ci"), F.greatest("own", other).alias("cj"))
-        .join(reps.select("node", "sig"), "node")
+        .join(reps.select("node", "sig", "_k", "_h"), "node")
+        .join(base.select("_k", "_h", "text"), ["_k", "_h"])
+        .select("key", "ci", "cj", "node", "label", "sig", "text")
     )
     across = (
         grid.repartition("key", "ci", "cj")
         .sortWithinPartitions("key", "ci", "cj", "node")
         .mapInArrow(_across(conf), "a bigint, b bigint")
     )
-    second = _linked(across, reps, base, conf)
-    final = components(first.unionAll(second))
+    final = components(first.unionAll(stage(across, "confirmed")))
     least = (
         reps.join(final, "node")
         .groupBy("label")
