@@ -36,3 +36,10 @@ def ranged(df: DataFrame, *columns: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, which every machine has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near, quality, substring
-from .frames import documents
+from ..workspace import shared_dir
+from . import near, packing, quality, substring, tokenfile
+from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,3 +34,15 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir), near.Near(shingle=3, num=85, den=100))
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "tokens")
+    tokenfile.write_store(documents(spark, sf_dir), folder, vocabulary("byte_bpe_50k.json"), end_id=2)
+    return tokenfile.read_store(spark, folder)
+
+
+@query
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), "word", end_id=1)
