@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import shared_dir
-from . import near, packing, quality, substring, tokenfile
+from . import lines, near, packing, quality, substring, tokenfile
 from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), "word", end_id=1)
+
+
+@query
+def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_report(documents(spark, sf_dir))
