@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import shared_dir
-from . import lines, near, packing, quality, substring, tokenfile
+from . import lines, near, packing, pieces, quality, substring, tokenfile
 from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_report(documents(spark, sf_dir))
+
+
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
