@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import shared_dir
-from . import lines, near, packing, pieces, quality, substring, tokenfile
+from . import fingerprints, lines, near, packing, pieces, quality, substring, suffixes, tokenfile
 from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,13 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(documents(spark, sf_dir), width=400).drop("kept")
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(documents(spark, sf_dir))
