@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEAST = -(2**63)
 
 
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     """doc_id, text (null: empty) and the key ``_k, _h`` that orders and joins documents.
 
     ``_k`` is the id (a null id comes before all others), ``_h`` a hash of the text, which

@@ -258,8 +258,8 @@ def _linked(pairs: DataFrame, reps: DataFrame, base: DataFrame, conf: Near) -> D
     return stage(placed.select("a", "b", "ta", "tb").mapInArrow(_confirm(conf), "a bigint, b bigint"), "confirmed")
 
 
-def near_duplicates(docs: DataFrame, conf: Near = Near()) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least id it can reach), kept."""
+def _grouped(docs: DataFrame, conf: Near) -> DataFrame:
+    """Every document with its key and the least key its component holds, as ``least``."""
     base = keyed(docs)
     every = stage(base.mapInArrow(_sign(conf), SIGNED), "signatures")
     reps = (
@@ -307,11 +307,22 @@ def near_duplicates(docs: DataFrame, conf: Near = Near()) -> DataFrame:
         .select(F.col("node").alias("s1"), "least")
     )
     alone = reps.select(F.col("node").alias("s1"), F.col("_k").alias("rep"))
-    component = F.coalesce("least", "rep", "_k")
-    return (
-        every.drop("sig")
-        .join(alone, "s1", "left")
-        .join(least, "s1", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(component != LEAST, component).alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    joined = every.drop("sig").join(alone, "s1", "left").join(least, "s1", "left")
+    return joined.select("doc_id", "_k", "_h", "n", F.coalesce("least", "rep", "_k").alias("least"))
+
+
+def near_duplicates(docs: DataFrame, conf: Near = Near()) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (least id it can reach), kept."""
+    component = F.when(F.col("least") != LEAST, F.col("least")).alias("component_id")
+    found = _grouped(docs, conf).select("doc_id", F.col("n").alias("n_shingles"), component)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, conf: Near = Near()) -> DataFrame:
+    """The rows of ``docs`` whose id is the least of their component, unchanged."""
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    at = {c: own[i] for i, c in enumerate(docs.columns)}
+    key = F.coalesce(F.col(at["doc_id"]).cast("bigint"), F.lit(LEAST))
+    inner = docs.toDF(*own).withColumns({"_k": key, "_h": F.xxhash64(F.coalesce(F.col(at["text"]), F.lit("")))})
+    kept = _grouped(docs, conf).filter("_k = least").select("_k", "_h")
+    return inner.join(kept, ["_k", "_h"], "left_semi").select(*own).toDF(*docs.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import shared_dir
-from . import fingerprints, lines, near, packing, pieces, quality, substring, suffixes, tokenfile
+from . import fingerprints, lines, near, packing, pieces, quality, quotes, substring, suffixes, tokenfile
 from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(documents(spark, sf_dir))
+
+
+@query
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))

@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -233,25 +233,23 @@ def _cut(window: int) -> Callable:
                     pa.array(out[1], pa.int64()),
                     pa.array(out[2], pa.binary()).cast(pa.string()),
                     pa.array(out[3], pa.string()),
+                    batch.column("rest"),
                 ],
-                names=["doc_id", "n_words", "n_removed", "kept_text", "kept_words_sha256"],
+                names=["doc_id", "n_words", "n_removed", "kept_text", "kept_words_sha256", "rest"],
             )
 
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
-    """One row per document: word counts, the text without repeated windows (the white
-    space around kept words stays), and the SHA-256 of the kept words joined by spaces.
-
-    A word goes if a window of ``window`` words that covers it also starts earlier."""
-    base = keyed(docs)
+def _removed(docs: DataFrame, window: int, rest: Column) -> DataFrame:
+    """``remove_repeats`` with a column ``rest`` that goes along."""
+    base = keyed(docs, rest.alias("rest"))
     anchors = base.select("text", "_k", "_h").mapInArrow(_anchors(window), ANCHORS)
     links = ranged(anchors, "g", "_k", "_h", "pos").mapInArrow(_link, REFS)
     refs = links.groupBy("_k", "_h").agg(
         F.sort_array(F.collect_list(F.struct("pos", "rpos", "rk", "rh"))).alias("refs")
     )
-    parsed = base.join(refs, ["_k", "_h"], "left").select("doc_id", "text", "_k", "_h", "refs")
+    parsed = base.join(refs, ["_k", "_h"], "left").select("doc_id", "text", "rest", "_k", "_h", "refs")
     boundary = ranged(parsed.mapInArrow(_boundary(window), WINDOWS), "g", "_k", "_h", "pos")
     both = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.size("w1") - 1).alias("i"), "w1", "w2")).alias("w")
     windows = (
@@ -267,8 +265,30 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         .groupBy("_k", "_h")
         .agg(F.collect_list("pos").alias("later"))
     )
+    kind = dict(base.dtypes)["rest"]
     return (
         parsed.join(later, ["_k", "_h"], "left")
-        .select("doc_id", "text", "refs", "later")
-        .mapInArrow(_cut(window), KEPT)
+        .select("doc_id", "text", "rest", "refs", "later")
+        .mapInArrow(_cut(window), f"{KEPT}, rest {kind}")
     )
+
+
+def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
+    """One row per document: word counts, the text without repeated windows (the white
+    space around kept words stays), and the SHA-256 of the kept words joined by spaces.
+
+    A word goes if a window of ``window`` words that covers it also starts earlier."""
+    return _removed(docs, window, F.lit(True)).drop("rest")
+
+
+def drop_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
+    """The rows and columns of ``docs``; texts that lost words and their n_chars are rewritten."""
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rest = F.struct(*(F.col(c).alias(n) for c, n in place.items() if c != "text"), F.col("text").isNull().alias("void"))
+    found, changed = _removed(docs, window, rest), F.col("n_removed") > 0
+    new = {c: F.col(f"rest.{n}") for c, n in place.items() if c != "text"}
+    new["text"] = F.when(~F.col("rest.void"), F.col("kept_text"))
+    if "n_chars" in place:
+        length = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, length).otherwise(new["n_chars"])
+    return found.select(*(new[c].alias(c) for c in docs.columns))
