@@ -24,6 +24,7 @@ twice; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -187,12 +188,33 @@ def repeated_windows(bodies: Sequence[bytes], anchors: Sequence[int], width: int
     return out
 
 
+def may_share(rows: list[dict], width: int) -> list[dict]:
+    """Contexts that can have a window in common with another one.
+
+    Every window reaches half of what it has beside the gram to one side of it; so a context
+    shares none unless that half, on one side, is shared."""
+    gram = _gram(width)
+    left = (width - gram + 1) // 2
+    right = width - gram - left + 1
+    sides: list[list[bytes | None]] = [[], []]
+    for r in rows:
+        at, body = r["at"], r["body"]
+        end = at + gram
+        sides[0].append(body[at - left : at] if at >= left else None)
+        sides[1].append(body[end : end + right] if len(body) >= end + right else None)
+    counts = [Counter(side) for side in sides]
+    return [r for r, *own in zip(rows, *sides) if any(x is not None and c[x] > 1 for x, c in zip(own, counts))]
+
+
 def _sorted_out(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, ["g", "ci", "cj"]):
             rows = list({(r["_k"], r["_h"], r["lo"]): r for r in group.to_pylist()}.values())
             if len(rows) < 2 or all(r["n"] > 1 for r in rows):
                 continue
+            rows = may_share(rows, width)
+            if len(rows) < 2:
+                continue
             found = repeated_windows([r["body"] for r in rows], [r["at"] for r in rows], width)
             spans = []
             for r, starts in zip(rows, found):
