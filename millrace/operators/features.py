@@ -108,9 +108,11 @@ def encode_targets(
 def fit_class_weights(df: DataFrame, label: str) -> FittedTable:
     """``rows / (classes * rows of the class)`` for every class present.
 
-    One grouping gives all counts.  Table: ``label, n, weight``.
+    One grouping gives all counts; rows without a label are in no class and get no
+    weight.  Table: ``label, n, weight``.
     """
-    counted = freeze(df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n")), "class-counts")
+    labelled = df.filter(quoted(label).isNotNull())
+    counted = freeze(labelled.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n")), "class-counts")
     total, classes = counted.table.agg(F.sum("n"), F.count(F.lit(1))).first()
     weight = F.lit(float(total or 0)) / (F.lit(float(classes)) * F.col("n"))
     return replace(counted, table=counted.table.withColumn("weight", weight))

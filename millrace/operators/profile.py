@@ -27,7 +27,7 @@ def quartiles(df: DataFrame, columns: Sequence[str], exact: bool = False, accura
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, over all rows where both hold a value.
+    """Pearson correlation of every pair of columns, over all rows where both hold a finite value.
 
     Long form ``(col_a, col_b, corr)`` with both orders of each pair and the diagonal.
     """
@@ -45,8 +45,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _finite(name: str) -> Column:
+    """The column as doubles; what is missing or infinite is NULL, at any number of columns."""
+    value = quoted(name).cast("double")
+    return F.when(~is_missing(value) & (F.abs(value) != F.lit(float("inf"))), value)
+
+
 def _native_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    values = {c: F.when(~is_missing(quoted(c).cast("double")), quoted(c).cast("double")) for c in columns}
+    values = {c: _finite(c) for c in columns}
 
     def correlation(a: Column, b: Column) -> Column:
         # F.corr divides by zero, an error in ANSI mode, if a column does not vary.
@@ -69,7 +75,7 @@ def _moment_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     compile; here a task emits one row per pair, whatever its number of rows.
     Values are shifted by the column means first, which keeps the sums accurate.
     """
-    doubles = df.select([quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    doubles = df.select([_finite(c).alias(f"c{i}") for i, c in enumerate(columns)])
     row = doubles.agg(*[F.avg(F.when(~F.isnan(c), F.col(c))) for c in doubles.columns]).first()
     shift = [float(m) if m is not None and abs(m) != float("inf") else 0.0 for m in row]
     width = len(columns)

@@ -20,6 +20,6 @@ def inline_values(spark: SparkSession, values: Sequence[object], name: str = "va
 
 
 def view_query(df: DataFrame, view: str, text: str) -> DataFrame:
-    """Register ``df`` as a temporary view and run SQL text over it."""
-    df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(text)
+    """SQL text over ``df``, which it names ``{view}``; no view outlives the call, and none of
+    the caller's is replaced."""
+    return df.sparkSession.sql(text, **{view: df})

@@ -115,7 +115,7 @@ def src_inline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sql_select_star", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def sql_select_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view_query(table(spark, sf_dir, "customer"), "customer_rows", "SELECT * FROM customer_rows")
+    return view_query(table(spark, sf_dir, "customer"), "customer_rows", "SELECT * FROM {customer_rows}")
 
 
 @query(

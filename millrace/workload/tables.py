@@ -79,7 +79,7 @@ def sql_conjunction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view_query(
         table(spark, sf_dir, "lineitem"),
         "line_rows",
-        """SELECT l_orderkey, l_linenumber, l_quantity FROM line_rows
+        """SELECT l_orderkey, l_linenumber, l_quantity FROM {line_rows}
            WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_linenumber = 1""",
     )
 
@@ -95,12 +95,12 @@ GROUPED = """SELECT o_orderpriority, count(*) AS row_count FROM {orders}
 
 @query("sql_group_count", GROUPED.format(orders="orders"))
 def sql_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view_query(table(spark, sf_dir, "orders"), "order_rows", GROUPED.format(orders="order_rows"))
+    return view_query(table(spark, sf_dir, "orders"), "order_rows", GROUPED.format(orders="{order_rows}"))
 
 
 @query("sql_group_order", GROUPED.format(orders="orders") + " ORDER BY row_count DESC, o_orderpriority")
 def sql_group_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = GROUPED.format(orders="order_rows") + " ORDER BY row_count DESC, o_orderpriority"
+    text = GROUPED.format(orders="{order_rows}") + " ORDER BY row_count DESC, o_orderpriority"
     return view_query(table(spark, sf_dir, "orders"), "order_rows", text)
 
 
@@ -111,7 +111,7 @@ def sql_group_order(spark: SparkSession, sf_dir: str) -> DataFrame:
          GROUP BY o_orderpriority)""",
 )
 def sql_then_dataframe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = view_query(table(spark, sf_dir, "orders"), "order_rows", GROUPED.format(orders="order_rows"))
+    counted = view_query(table(spark, sf_dir, "orders"), "order_rows", GROUPED.format(orders="{order_rows}"))
     return counted.withColumn("is_large", F.col("row_count") > 2000)
 
 

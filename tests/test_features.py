@@ -158,3 +158,21 @@ def test_both_correlation_forms_agree_with_gaps(spark):
     assert native.keys() == moments.keys() and len(native) == 10
     for pair, value in native.items():
         assert moments[pair] == (None if value is None else pytest.approx(value, abs=1e-9))
+
+
+def test_rows_without_label_count_for_nothing(spark):
+    rows = [(1.0, 1.0, 0.9), (0.0, 0.0, 0.1), (None, 1.0, 0.95), (None, 0.0, 0.05)]
+    df = spark.createDataFrame(rows, "y double, prediction double, score double")
+    assert metrics.area_under_roc(metrics.tally(df, "y", "prediction", "score")).first()[0] == 1.0
+    found = features.fit_class_weights(df, "y").table.collect()
+    assert sorted((r.label, r.n, r.weight) for r in found) == [(0.0, 1, 1.0), (1.0, 1, 1.0)]
+
+
+def test_infinities_count_as_missing_at_any_width(spark, monkeypatch):
+    rows = [(1.0, 2.0), (2.0, 1.0), (3.0, 5.0), (None, float("inf")), (4.0, 4.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    narrow = {(r.col_a, r.col_b): r["corr"] for r in profile.correlation_matrix(df, ["a", "b"]).collect()}
+    monkeypatch.setattr(profile, "NATIVE_COLUMNS", 1)
+    wide = {(r.col_a, r.col_b): r["corr"] for r in profile.correlation_matrix(df, ["a", "b"]).collect()}
+    assert narrow.keys() == wide.keys() and all(abs(narrow[k] - wide[k]) < 1e-9 for k in narrow)
+    assert abs(narrow["a", "b"] - 0.7071067811865476) < 1e-9

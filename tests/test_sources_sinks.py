@@ -106,7 +106,7 @@ def test_inline_tables(spark):
     assert sources.inline_rows(spark, [(25, 50000, 0)], ["age", "income", "label"]).first()["income"] == 50000
     values = sources.inline_values(spark, [1, "404", None], "v")
     assert [r["v"] for r in values.collect()] == ["1", "404", None]
-    assert sources.view_query(values, "inline_view", "SELECT count(v) AS n FROM inline_view").first()["n"] == 2
+    assert sources.view_query(values, "inline_view", "SELECT count(v) AS n FROM {inline_view}").first()["n"] == 2
 
 
 def test_frozen_tables_are_embedded_or_staged(spark):
