@@ -9,8 +9,9 @@ the unknown id (once for a run of them).
 
 Apart from runs of the white-space mark no piece holds the mark behind its first character,
 so the best segmentation of a text is that of its words laid end to end.  Words met before
-are taken from a bounded table in the worker.  If a model has pieces that cross words,
-whole texts are segmented instead.
+are taken from a bounded table in the worker; new words of equal length go through the trie
+and Viterbi side by side, as arrays.  If a model has pieces that cross words, whole texts
+are segmented instead.
 
 Decoding lays pieces end to end, turns runs of byte pieces back into text (broken UTF-8
 becomes U+FFFD), the mark into a blank, and drops the blank put before the text.
@@ -37,9 +38,13 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 
 MARK = "▁"
+WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_COST = 10.0
 REMEMBERED = 400_000
+#: Words of one length segmented side by side, and the bytes up to which words are.
+ABREAST = 8192
+LONGEST = 96
 ENCODED = "doc_id bigint, n_ids bigint, n_byte_ids bigint, ids_crc32 bigint, decoded_sha256 string, round_trip boolean"
 
 
@@ -156,6 +161,8 @@ class Unigram:
                 self.scores[i] = len(self.pieces[i].encode()) * best - 0.1
         self.by_words = not any(MARK in p.lstrip(MARK) or (p.startswith(MARK * 2) and p.strip(MARK)) for p in (self.pieces[i] for i in usable))
         self.known: dict[str, tuple[int, ...]] = {}
+        self.nodes = [np.array(x, np.int64) for x in (self.trie.base, self.trie.check, self.trie.value)]
+        self.cost = np.array(self.scores)
 
     def viterbi(self, text: str) -> tuple[int, ...]:
         """Ids of the best segmentation of ``text``, marks included."""
@@ -191,17 +198,96 @@ class Unigram:
             n = start
         return tuple(reversed(out))
 
-    def encode(self, text: str) -> list[int]:
+    def abreast(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """What ``viterbi`` gives for each of ``words``, which are all of one length."""
+        n, count = len(words[0]), len(words)
+        data = np.frombuffer(b"".join(words), np.uint8).reshape(count, n).T.astype(np.int64)
+        base, check, value = self.nodes
+        best = np.full((n + 1, count), -np.inf)
+        start = np.zeros((n + 1, count), np.int64)
+        piece = np.full((n + 1, count), -1, np.int64)
+        best[0] = 0.0
+
+        def offer(who: np.ndarray, ends: np.ndarray | int, scores: np.ndarray, at: int, ids: np.ndarray | int) -> None:
+            better = scores > best[ends, who]
+            who = who[better]
+            ends = ends[better] if isinstance(ends, np.ndarray) else ends
+            best[ends, who], start[ends, who] = scores[better], at
+            piece[ends, who] = ids[better] if isinstance(ids, np.ndarray) else ids
+
+        for at in range(n):
+            lead = data[at]
+            begins = np.flatnonzero((lead & 0xC0) != 0x80)
+            if not len(begins):
+                continue
+            step = 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0)
+            single = np.zeros(count, bool)
+            who, node = begins, np.zeros(len(begins), np.int64)
+            for end in range(at + 1, n + 1):
+                child = base[node] + data[end - 1, who] + 1
+                child[child >= len(check)] = 0
+                on = check[child] == node
+                who, node = who[on], child[on]
+                if not len(who):
+                    break
+                ids = value[node]
+                ended = ids >= 0
+                own, ids = who[ended], ids[ended]
+                offer(own, end, best[at, own] + self.cost[ids], at, ids)
+                single[own[step[own] == end - at]] = True
+            bare = begins[~single[begins]]
+            offer(bare, at + step[bare], best[at, bare] + self.worst, at, -1)
+        taken, ends, who = [], np.full(count, n), np.arange(count)
+        while ends.any():
+            taken.append(np.where(ends > 0, np.where(piece[ends, who] >= 0, piece[ends, who], -1 - ends), -1))
+            ends = np.where(ends > 0, start[ends, who], 0)
+        steps = np.array(taken)[::-1].T
+        bare, first = (steps < -1).any(1).tolist(), (steps == -1).sum(1).tolist()
+        paths = zip(words, steps.tolist(), bare, first)
+        return [self._spelled(word, path[a:]) if odd else tuple(path[a:]) for word, path, odd, a in paths]
+
+    def _spelled(self, word: bytes, path: list[int]) -> tuple[int, ...]:
+        """Ids of a path in which a number below -1 is where a bare character ends."""
+        out: list[int] = []
+        for i in path:
+            if i >= 0:
+                out.append(i)
+            elif self.bytes:
+                begin = end = -1 - i
+                while begin == end or word[begin] & 0xC0 == 0x80:
+                    begin -= 1
+                out += [self.bytes[b] for b in word[begin:end]]
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)
+        return tuple(out)
+
+    def marked(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return []
-        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
+        return (MARK if self.prefix else "") + text.replace(" ", MARK) if text else ""
+
+    def learn(self, texts: list[str]) -> None:
+        """Segment the words of ``texts`` that the table of words lacks."""
+        new = {w for text in texts for w in WORDS.findall(self.marked(text))}.difference(self.known) if self.by_words else ()
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        by_size: dict[int, list[tuple[str, bytes]]] = {}
+        for word in new:
+            raw = word.encode()
+            if len(raw) <= LONGEST:
+                by_size.setdefault(len(raw), []).append((word, raw))
+        for same in by_size.values():
+            for a in range(0, len(same), ABREAST):
+                part = same[a : a + ABREAST]
+                self.known.update(zip([w for w, _ in part], self.abreast([raw for _, raw in part])))
+
+    def encode(self, text: str) -> list[int]:
+        marked = self.marked(text)
         if not self.by_words:
             return list(self.viterbi(marked))
         out: list[int] = []
         known = self.known
-        for word in re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", marked):
+        for word in WORDS.findall(marked):
             ids = known.get(word)
             if ids is None:
                 if len(known) >= REMEMBERED:
@@ -244,7 +330,9 @@ def _encode(path: str) -> Callable:
         for batch in batches:
             rows = []
             for part in tk.slices(batch.column("text")):
-                for text in batch.column("text").slice(part.first, len(part)).to_pylist():
+                texts = batch.column("text").slice(part.first, len(part)).to_pylist()
+                own.learn(texts)
+                for text in texts:
                     ids = own.encode(text)
                     array, back = np.array(ids, "<u4"), own.decode(ids)
                     n_bytes = int(np.isin(array, bytes_).sum())

@@ -47,6 +47,17 @@ def test_words_give_the_ids_of_whole_texts():
         assert own.encode(text) == whole.encode(text)
 
 
+def test_words_side_by_side_get_the_ids_of_words_alone():
+    for with_bytes in (True, False):
+        own, alone = pieces.Unigram(PATH), pieces.Unigram(PATH)
+        if not with_bytes:
+            own.bytes, alone.bytes = {}, {}
+        own.learn(texts())
+        assert own.known
+        for word, ids in own.known.items():
+            assert ids == alone.viterbi(word), repr(word)
+
+
 def test_double_array_finds_all_prefixes():
     rng = random.Random(5)
     keys = {bytes(rng.choice(b"ab\xff\x00") for _ in range(rng.randint(1, 6))): i for i in range(300)}
