@@ -1,19 +1,22 @@
 """Byte strings that occur twice, found with suffix arrays built by linear grouping.
 
 A window of ``width`` bytes is owned by its *anchor*, the least hashed gram in it, so equal
-windows have equal anchors.  The windows that one anchor owns are one context of text.
-Contexts that are equal as a whole (128-bit hashes) repeat in every window.  Where one anchor
-has several different contexts, one of each goes to a block, and the block's suffix array
-brings equal windows side by side, where they are compared byte by byte.
+windows have equal anchors.  Of what a window holds beside the gram, half lies on one side of
+it; gram and half together are the window's *core*.  Windows in a row with the same core in
+the same place are one context of text.  Contexts that are equal as a whole (128-bit hashes)
+repeat in every window.  Where one core has several different contexts, one of each goes to a
+block, and the block's suffix array brings equal windows together, where they are compared
+byte by byte.
 
 The suffix array is built by grouping: suffixes are grouped by their longest
 Lyndon prefix, groups are taken in descending order, every member finds the nearest earlier
 suffix of a smaller group (its previous-smaller pointer), and the suffixes so pointed at are
 moved behind their group, those with most pointers last.  A second pass emits the order of
 each group along the same pointers; nothing is renamed and there is no recursion.  As all
-contexts of a block hold the anchor's gram, it counts as a single symbol.
+contexts of a block hold the same core, it counts as a single symbol, and the bytes on both
+sides of it are taken in chunks, counted from the core, of one symbol each.
 
-Anchors with more contexts than a block holds are spread over pairs of blocks, so that any
+Cores with more contexts than a block holds are spread over pairs of blocks, so that any
 two contexts meet in one task of bounded size.
 
 Defined cases: a null or empty text has no bytes; null ids, and different texts under
@@ -24,7 +27,7 @@ twice; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -37,8 +40,10 @@ from . import textkit as tk
 from .frames import keyed
 from .near import runs
 
-#: Contexts of one anchor that a block takes in; two blocks meet in a task.
-BLOCK = 64
+#: Contexts of one core (each shorter than two windows) in a block; two blocks meet in a task.
+BLOCK = 1024
+#: Bytes that make one symbol of a suffix array.
+CHUNK = 8
 ANCHORS = "g bigint, _k bigint, _h bigint, pos int, lo int, hi int, c1 bigint, c2 bigint"
 CONTEXTS = "g bigint, n bigint, blocks int, _k bigint, _h bigint, lo int, at int, body binary"
 KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -105,28 +110,39 @@ def _gram(width: int) -> int:
     return width // 3
 
 
+def _half(width: int) -> int:
+    return (width - _gram(width) + 1) // 2
+
+
+def _core(width: int) -> int:
+    return _gram(width) + _half(width)
+
+
 def _anchors(width: int) -> Callable:
-    gram = _gram(width)
+    gram, half, core = _gram(width), _half(width), _core(width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, h = (batch.column(c).to_numpy() for c in ("_k", "_h"))
             for part in tk.slices(batch.column("text")):
                 rows, n = part.offsets, len(part.data) - width + 1
-                valid = tk.inside(rows, width, n)
-                if not valid.any():
+                at = np.flatnonzero(tk.inside(rows, width, n))
+                if not len(at):
                     continue
                 sums = tk.prefix_sums(part.data)
                 starts = np.arange(len(part.data) - gram + 1)
                 grams = tk.span_hash(sums, starts, starts + gram)
-                at = np.flatnonzero(valid)
                 least = tk.minimizers(grams, width - gram + 1)[at]
-                first = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)])
+                left = at <= least - half
+                least = np.where(left, least - half, least)
+                first = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1) | (left[1:] != left[:-1])])
                 lo, hi, pos = at[first], at[np.r_[first[1:], len(at)] - 1], least[first]
                 row = tk.repeat_rows(rows, lo)
-                c1 = tk.span_hash(sums, lo, hi + width)
+                g = tk.mix(tk.span_hash(sums, pos, pos + core) + left[first].astype(tk.U64))
+                place = ((pos - lo).astype(tk.U64) << tk.U64(32)) + (hi - lo).astype(tk.U64)
+                c1 = tk.mix(tk.span_hash(sums, lo, hi + width) ^ tk.mix(place + tk.U64(1)))
                 c2 = _second(part.data, lo, hi + width)
-                columns = [tk.signed(grams[pos]), pa.array(k[part.first + row]), pa.array(h[part.first + row])]
+                columns = [tk.signed(g), pa.array(k[part.first + row]), pa.array(h[part.first + row])]
                 columns += [pa.array((x - rows[row]).astype(np.int32)) for x in (pos, lo, hi)]
                 yield pa.RecordBatch.from_arrays([*columns, tk.signed(c1), tk.signed(c2)], names=[c.split()[0] for c in ANCHORS.split(", ")])
 
@@ -156,54 +172,50 @@ def _contexts(width: int) -> Callable:
     return run
 
 
-def repeated_windows(bodies: Sequence[bytes], anchors: Sequence[int], width: int) -> list[list[int]]:
+def repeated_windows(bodies: Sequence[bytes], places: Sequence[int], width: int) -> list[list[int]]:
     """For each context the starts of its windows that another place of the block repeats.
-    Every body holds the same gram at its anchor."""
-    gram = _gram(width)
+    Every body holds the same core at its place, and every window of it holds the core."""
+    core, chunk = _core(width), CHUNK
+    numbers: dict[bytes, int] = defaultdict(lambda: len(numbers) + 3)
     symbols: list[int] = []
     owner: list[tuple[int, int]] = []
-    for i, (body, at) in enumerate(zip(bodies, anchors)):
-        symbols += [b + 3 for b in body[:at]]
+    for i, (body, at) in enumerate(zip(bodies, places)):
+        behind = at + core
+        symbols += [numbers[body[a : a + chunk]] for a in range(at % chunk, at, chunk)]
         symbols.append(2)
-        symbols += [b + 3 for b in body[at + gram :]]
+        symbols += [numbers[body[a : a + chunk]] for a in range(behind, len(body) - chunk + 1, chunk)]
         symbols.append(1)
-        last = len(body) - width
-        owner += [(i, d) if d <= last else (-1, 0) for d in range(at + 1)] + [(-1, 0)] * (len(body) - at - gram + 1)
+        owner += [(i, c) for c in range(at % chunk, at + 1, chunk)]
+        owner += [(-1, 0)] * (len(symbols) - len(owner))
     out: list[list[int]] = [[] for _ in bodies]
-    before: tuple[int, int] | None = None
-    window = told = None
+    together: list[tuple[int, int]] = []
+    sure = b""
     for s in suffix_array(symbols):
-        own = owner[s]
-        if own[0] < 0:
+        i, c = owner[s]
+        if i < 0:
             continue
-        body = bodies[own[0]][own[1] : own[1] + width]
-        if body == window:
-            if not told:
-                out[before[0]].append(before[1])
-                told = True
-            out[own[0]].append(own[1])
-        else:
-            window, told = body, False
-        before = own
+        # the whole chunks that all windows beginning in the chunk before c have in common
+        behind = places[i] + core
+        own = bodies[i][c : behind + max(c - chunk + 1 + width - behind, 0) // chunk * chunk]
+        if own != sure:
+            _compare(together, bodies, width, out)
+            together, sure = [], own
+        together.append((i, c))
+    _compare(together, bodies, width, out)
     return out
 
 
-def may_share(rows: list[dict], width: int) -> list[dict]:
-    """Contexts that can have a window in common with another one.
-
-    Every window reaches half of what it has beside the gram to one side of it; so a context
-    shares none unless that half, on one side, is shared."""
-    gram = _gram(width)
-    left = (width - gram + 1) // 2
-    right = width - gram - left + 1
-    sides: list[list[bytes | None]] = [[], []]
-    for r in rows:
-        at, body = r["at"], r["body"]
-        end = at + gram
-        sides[0].append(body[at - left : at] if at >= left else None)
-        sides[1].append(body[end : end + right] if len(body) >= end + right else None)
-    counts = [Counter(side) for side in sides]
-    return [r for r, *own in zip(rows, *sides) if any(x is not None and c[x] > 1 for x, c in zip(own, counts))]
+def _compare(together: list[tuple[int, int]], bodies: Sequence[bytes], width: int, out: list[list[int]]) -> None:
+    """Of suffixes that begin alike, mark the windows beginning in the chunk before that are equal."""
+    if len(together) < 2:
+        return
+    for back in range(CHUNK):
+        own = [(i, c - back) for i, c in together if 0 <= c - back <= len(bodies[i]) - width]
+        windows = [bodies[i][a : a + width] for i, a in own]
+        times = Counter(windows)
+        for (i, a), window in zip(own, windows):
+            if times[window] > 1:
+                out[i].append(a)
 
 
 def _sorted_out(width: int) -> Callable:
@@ -212,9 +224,6 @@ def _sorted_out(width: int) -> Callable:
             rows = list({(r["_k"], r["_h"], r["lo"]): r for r in group.to_pylist()}.values())
             if len(rows) < 2 or all(r["n"] > 1 for r in rows):
                 continue
-            rows = may_share(rows, width)
-            if len(rows) < 2:
-                continue
             found = repeated_windows([r["body"] for r in rows], [r["at"] for r in rows], width)
             spans = []
             for r, starts in zip(rows, found):
@@ -256,19 +265,16 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 400) -> DataFrame:
     """One row per document: its bytes, how many lie in a string of ``width`` bytes that also
     starts elsewhere, in how many runs, and the rest with its SHA-256."""
     base = keyed(docs)
-    anchors = base.select("text", "_k", "_h").mapInArrow(_anchors(width), ANCHORS)
-    context = [F.col("lo") - F.col("pos"), F.col("hi") - F.col("pos"), F.col("c1"), F.col("c2")]
-    kind = F.xxhash64(*context)
-    rows = anchors.withColumn("kind", kind)
-    place = F.struct("_k", "_h", "pos", "lo", "hi")
-    classes = rows.groupBy("g", "kind", "c1", "c2").agg(F.min(place).alias("r"), F.max(place).alias("last"))
-    classes = classes.withColumn("n", F.when(F.col("r") < F.col("last"), 2).otherwise(1).cast("bigint"))
+    rows = base.select("text", "_k", "_h").mapInArrow(_anchors(width), ANCHORS)
+    place = F.struct(F.xxhash64("_k", "_h", "lo").alias("id"), "_k", "_h", "pos", "lo", "hi")
+    classes = rows.groupBy("g", "c1", "c2").agg(F.min(place).alias("r"), F.max(place["id"]).alias("last"))
+    classes = classes.withColumn("n", F.when(F.col("r.id") < F.col("last"), 2).otherwise(1).cast("bigint"))
     classes = stage(classes.drop("last"), "classes")
-    twice = rows.join(classes.filter("n > 1").select("g", "kind", "c1", "c2"), ["g", "kind", "c1", "c2"], "left_semi")
+    twice = rows.join(classes.filter("n > 1").select("g", "c1", "c2"), ["g", "c1", "c2"], "left_semi")
     whole = twice.select("_k", "_h", F.col("lo").alias("a"), (F.col("hi") + width).alias("b"))
     several = classes.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least")).filter("size > 1 and least = 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
-    wanted = classes.join(several.select("g", blocks), "g").select("g", "n", "blocks", "r.*")
+    wanted = classes.join(several.select("g", blocks), "g").select("g", "n", "blocks", "r.*").drop("id")
     wanted = wanted.groupBy("_k", "_h").agg(F.collect_list(F.struct("g", "n", "blocks", "pos", "lo", "hi")).alias("wanted"))
     texts = base.select("doc_id", "text", "_k", "_h")
     found = texts.join(wanted, ["_k", "_h"]).mapInArrow(_contexts(width), CONTEXTS)

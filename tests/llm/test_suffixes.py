@@ -35,7 +35,7 @@ def brute(rows, width):
     return sorted([(i, *out[(-1 if i is None else i, t or "")]) for i, t in rows], key=str)
 
 
-@pytest.mark.parametrize("seed,width", [(1, 40), (2, 120), (3, 400)])
+@pytest.mark.parametrize("seed,width", [(1, 40), (2, 120), (3, 400), (4, 11), (5, 63)])
 def test_against_brute_force(table, seed, width, monkeypatch):
     if seed == 1:
         monkeypatch.setattr("millrace.llm.suffixes.BLOCK", 3)
