@@ -124,8 +124,9 @@ def write_store(
     dictionary = bytes(trained.dictionary) if trained else b""
     hash_ = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(hash_, dictionary, width)], "hash string, bytes binary, width int").coalesce(1).write.parquet(f"{folder}/dictionary")
-    frames = base.mapInArrow(_encode(path, cut, end_id, width, dictionary), coded)
-    shards = ranged(frames, "_k", "_h").mapInArrow(_shards(hash_), STORED)
+    # Texts, not frames, are put in order: finding the ranges would else encode all a second time.
+    frames = ranged(base, "_k", "_h").mapInArrow(_encode(path, cut, end_id, width, dictionary), coded)
+    shards = frames.mapInArrow(_shards(hash_), STORED)
     staged = stage(shards, "shards")
     # Where each part's ids begin: one row per task that wrote, so a few thousand at most.
     sizes = staged.select("part", F.explode("docs").alias("d")).groupBy("part").agg(F.sum("d.n_tokens").alias("n")).orderBy("part").collect()
