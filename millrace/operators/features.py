@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import is_missing, quoted
-from millrace.operators.lookup import lookup
+from millrace.operators.lookup import BROADCAST_ROWS, lookup
 from millrace.operators.ranking import ROWS_PER_TASK, fit_range_cuts, number_rows
-from millrace.workspace import FittedTable, freeze
+from millrace.workspace import BROADCAST_BYTES, FittedTable, freeze
 
 
 def _label_rows(df: DataFrame, columns: Sequence[str], *extra: Column) -> DataFrame:
@@ -42,8 +42,20 @@ def fit_categories(df: DataFrame, columns: Sequence[str], rows_per_task: int = R
     return freeze(numbered.withColumn("idx", (F.col("idx") - 1).cast("double")), "label-index", counted)
 
 
-def _one_column(fitted: FittedTable, column: str) -> FittedTable:
-    return replace(fitted, table=fitted.table.filter(F.col("column_name") == column).drop("column_name"))
+def _by_column(fitted: FittedTable, columns: Sequence[str]) -> dict[str, FittedTable]:
+    """The table of each column.  The extents of a table too large to broadcast whole are
+    measured column by column, and each counts those of all smaller columns as its own, so
+    that what is broadcast in all keeps the limit."""
+    extents = dict.fromkeys(columns, (fitted.rows, fitted.size))
+    if fitted.rows > BROADCAST_ROWS or fitted.size > BROADCAST_BYTES:
+        size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
+        found = fitted.table.groupBy("column_name").agg(F.count(F.lit(1)), size).collect()
+        extents, rows, total = dict.fromkeys(columns, (0, 0)), 0, 0
+        for name, n, own in sorted((tuple(r) for r in found if r[0] in extents), key=lambda r: (r[2], r[0])):
+            rows, total = rows + n, total + own
+            extents[name] = (rows, total)
+    own_table = lambda c: fitted.table.filter(F.col("column_name") == c).drop("column_name")
+    return {c: FittedTable(own_table(c), *extents[c]) for c in columns}
 
 
 def _as_label(df: DataFrame, column: str) -> tuple[DataFrame, str]:
@@ -64,9 +76,10 @@ def index_categories(
     sizes: dict[str, int] = {}
     if invalid == "keep":
         sizes = {r[0]: r[1] for r in fitted.table.groupBy("column_name").count().collect()}
+    tables = _by_column(fitted, list(outputs))
     for column, output in outputs.items():
         keyed, key = _as_label(df, column)
-        one = _one_column(fitted, column)
+        one = tables[column]
         renamed = replace(one, table=one.table.withColumnRenamed("idx", output))
         found = lookup(keyed, renamed, {key: "label"})
         if invalid == "skip":
@@ -94,8 +107,9 @@ def encode_targets(
     as if it had ``smoothing`` rows.  Categories never seen get the overall mean."""
     sums = fitted.table.groupBy("column_name").agg((F.sum("total") / F.sum("n")).alias("mean"))
     overall = {r["column_name"]: r["mean"] for r in sums.collect()}
+    tables = _by_column(fitted, list(outputs))
     for column, output in outputs.items():
-        one = _one_column(fitted, column)
+        one = tables[column]
         mean = F.lit(overall.get(column))
         blended = (F.col("total") + F.lit(float(smoothing)) * mean) / (F.col("n") + F.lit(float(smoothing)))
         encoded = replace(one, table=one.table.select("label", "n", blended.alias("__mean")))

@@ -17,6 +17,8 @@ BROADCAST_ROWS = 200_000
 #: unless the key itself is long.
 HEAVY_SHARE = 1_000
 HEAVY_KEY_BYTES = 10_000
+#: Rows answered by a heavy key are dealt over this many keys of the shuffle.
+SPREAD = 65_536
 
 
 def lookup(
@@ -30,26 +32,34 @@ def lookup(
 ) -> DataFrame:
     """Left-join a learned table; ``keys`` maps columns of ``df`` to columns of the table.
 
-    NULL keys match a NULL entry.  A table whose measured extent is small is broadcast.  In
-    a larger one the heavy keys (by the ``weight`` column, at most ``HEAVY_SHARE`` of
-    them) are still broadcast, so that only the many light keys are shuffled.
+    NULL keys match a NULL entry.  A table whose measured extent is small is broadcast.  For
+    a larger one ``df`` is read once all the same: heavy keys (by the ``weight`` column, at
+    most ``HEAVY_SHARE`` of them) and the entry whose keys are all NULL are looked up by
+    broadcast, the other keys by shuffle.  Rows that have their answer pass that shuffle
+    under a spread key which no entry has.
     """
     unused = [] if keep_weight else [weight]
     renamed = {name: f"__{name}" for name in keys.values()}
     table = fitted.table.withColumnsRenamed(renamed)
     pairs = [(left, renamed[right]) for left, right in keys.items()]
     on = reduce(lambda a, b: a & b, [quoted(left).eqNullSafe(F.col(right)) for left, right in pairs])
-    marker = "__found"
     if fitted.rows <= broadcast_rows and fitted.size <= BROADCAST_BYTES:
         return df.join(F.broadcast(table.drop(*unused)), on, "left").drop(*renamed.values())
     total = table.agg(F.sum(weight)).first()[0]
-    any_null = reduce(lambda a, b: a | b, [F.col(right).isNull() for _, right in pairs])
+    all_null = reduce(lambda a, b: a & b, [F.col(right).isNull() for _, right in pairs])
     key_bytes = F.octet_length(F.to_json(F.struct(*[F.col(right) for _, right in pairs])))
-    is_heavy = ((F.col(weight) * HEAVY_SHARE > F.lit(total)) & (key_bytes <= HEAVY_KEY_BYTES)) | any_null
-    heavy = table.filter(is_heavy).drop(*unused).withColumn(marker, F.lit(True))
-    light = table.filter(~is_heavy).drop(*unused)
-    null_key = reduce(lambda a, b: a | b, [quoted(left).isNull() for left, _ in pairs])
-    by_broadcast = df.join(F.broadcast(heavy), on, "left").filter(F.col(marker) | null_key)
-    by_shuffle = df.filter(~null_key).join(F.broadcast(heavy), on, "left_anti").join(light, on, "left")
-    dropped = [*renamed.values(), marker]
-    return by_broadcast.drop(*dropped).unionByName(by_shuffle.drop(*dropped))
+    frequent = (F.col(weight) * HEAVY_SHARE > F.lit(total)) & (key_bytes <= HEAVY_KEY_BYTES)
+    is_heavy = F.coalesce(frequent, F.lit(False)) | all_null
+    values = [c for c in table.columns if c not in unused and c not in renamed.values()]
+    heavy = table.filter(is_heavy).select(*renamed.values(), F.struct(*map(quoted, values)).alias("__heavy"))
+    light = table.filter(~is_heavy).select(
+        *renamed.values(), F.lit(0).alias("__entry"), F.struct(*map(quoted, values)).alias("__light")
+    )
+    unhashable = ("map<", "variant")
+    hashable = [quoted(name) for name, kind in df.dtypes if not any(u in kind for u in unhashable)]
+    answered = F.col("__heavy").isNotNull() | reduce(lambda a, b: a & b, [quoted(left).isNull() for left, _ in pairs])
+    spread = F.when(answered, F.pmod(F.xxhash64(*hashable), F.lit(SPREAD)).cast("int") + 1).otherwise(0)
+    first = df.join(F.broadcast(heavy), on, "left").drop(*renamed.values()).withColumn("__spread", spread)
+    both = first.join(light, on & (F.col("__spread") == F.col("__entry")), "left")
+    found = F.coalesce("__heavy", "__light")
+    return both.select(*map(quoted, df.columns), *(found.getField(c).alias(c) for c in values))

@@ -70,6 +70,36 @@ def test_lookup_beyond_the_broadcast_limit(spark):
         assert shuffled.count() == len(keys)
 
 
+def test_lookup_by_two_keys_with_nulls(spark):
+    pairs = [("a", 1)] * 2000 + [(None, 1)] * 800 + [("a", None)] * 3 + [(None, None)] * 900
+    pairs += [(f"k{i}", i) for i in range(1500)] + [(None, i) for i in range(50)] + [("new", 0)] * 4
+    df = spark.createDataFrame([(*p, i) for i, p in enumerate(pairs)], "k string, j int, id int").repartition(4)
+    table = df.filter("NOT k <=> 'new'").groupBy("k", "j").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("value"))
+    fitted = FittedTable(table, *measure(table))
+    small, large = (lookup.lookup(df, f, {"k": "k", "j": "j"}) for f in (fitted, replace(fitted, size=BROADCAST_BYTES + 1)))
+    assert small.columns == large.columns and small.count() == len(pairs)
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
+@pytest.mark.parametrize("width", [1, 4, 15])
+def test_large_vocabularies_read_the_source_once(spark, orders, width, monkeypatch):
+    """Both encoders, with every column beyond the limit, and with all but the small ones."""
+    wide = orders.select("o_orderkey", "y", *(F.pmod("o_custkey", F.lit(7 + 90 * i)).alias(f"c{i}") for i in range(width)))
+    outputs = {f"c{i}": f"e{i}" for i in range(width)}
+    labels, means = features.fit_categories(wide, list(outputs)), features.fit_target_means(wide, list(outputs), "y")
+    plain = [features.index_categories(wide, labels, outputs), features.encode_targets(wide, means, outputs)]
+    expected = [sorted(map(str, df.collect())) for df in plain] if width < 15 else None
+    for limit in (0, 200):
+        monkeypatch.setattr(features, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(lookup.lookup, "__kwdefaults__", {**lookup.lookup.__kwdefaults__, "broadcast_rows": limit})
+        large = [features.index_categories(wide, labels, outputs), features.encode_targets(wide, means, outputs)]
+        for df in large:
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("o_orderkey") and plan.count("parquet") == 1
+        if expected:
+            assert [sorted(map(str, df.collect())) for df in large] == expected
+
+
 @pytest.mark.parametrize("smoothing", [0.0, 5.0])
 def test_target_means_equal_mllib(orders, smoothing):
     indexed = features.index_categories(
