@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import quoted
 from millrace.workspace import BROADCAST_BYTES, measure, stage
@@ -30,14 +31,37 @@ def order_columns(order_by: Sequence[str]) -> list[Column]:
     return [quoted(name[1:]).desc() if name.startswith("-") else quoted(name).asc() for name in order_by]
 
 
-def _order_key(order_by: Sequence[str]) -> Column:
+def _falling(c: Column, kind: T.DataType) -> list[Column]:
+    """Rising columns that order ``c`` downwards."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return [~F.isnan(c), -c]
+    if isinstance(kind, T.IntegralType):
+        return [F.bitwise_not(c)]  # unlike the negative, never out of range
+    if isinstance(kind, T.DecimalType):
+        return [-c]
+    if isinstance(kind, T.BooleanType):
+        return [~c]
+    if isinstance(kind, T.DateType):
+        return [-F.unix_date(c)]
+    if isinstance(kind, T.TimestampType):
+        return [-F.unix_micros(c)]
+    if isinstance(kind, T.TimestampNTZType):
+        return [F.timestamp_diff("MICROSECOND", c, F.lit("1970-01-01").cast("timestamp_ntz"))]
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        # The complement of the bytes, with an end that is greater than any digit.
+        digits = F.translate(F.hex(c.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210")
+        return [F.concat(digits, F.lit("G"))]
+    raise TypeError(f"no falling order for {kind.simpleString()}")
+
+
+def _order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
     """A struct that compares like ``order_by``: NULL first and NaN last when rising, and
-    the other way round when falling, for which numbers are negated."""
+    the other way round when falling."""
     parts: list[Column] = []
     for name in order_by:
         if name.startswith("-"):
             c = quoted(name[1:])
-            parts += [c.isNull(), ~F.isnan(c), -c]
+            parts += [c.isNull(), *_falling(c, df.select(c).schema[0].dataType)]
         else:
             parts.append(quoted(name))
     return F.struct(*[part.alias(f"o{i}") for i, part in enumerate(parts)])
@@ -87,7 +111,7 @@ def fit_range_cuts(
     points.  Sampling decides only where the cuts fall, never what the result is.
     """
     keyed, names = _with_groups(df, partition_by)
-    keyed = keyed.select(*names, _order_key(order_by).alias("key"))
+    keyed = keyed.select(*names, _order_key(keyed, order_by).alias("key"))
     sizes = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("size"))
     total, largest = sizes.agg(F.sum("size"), F.max("size")).first()
     if not largest or largest <= rows_per_task:
@@ -124,7 +148,7 @@ def _attach(df: DataFrame, table: DataFrame, names: Sequence[str], how: str) ->
 def _ranged(df: DataFrame, cuts: RangeCuts) -> tuple[DataFrame, list[str]]:
     """Add the group columns, ``__range``, and the number of rows in earlier ranges."""
     grouped, names = _with_groups(df, cuts.partition_by)
-    index = range_index(F.col("cuts"), _order_key(cuts.order_by), cuts.max_cuts)
+    index = range_index(F.col("cuts"), _order_key(df, cuts.order_by), cuts.max_cuts)
     ranged = _attach(grouped, cuts.table, names, "left").withColumn(
         "__range", F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(index)
     )

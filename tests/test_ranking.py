@@ -40,6 +40,27 @@ def test_ranks_by_ranges(skewed, order):
     assert collected(ranking.rank_rows(skewed, ["k"], order, "n", cuts)) == collected(plain)
 
 
+@pytest.mark.parametrize(
+    "kind", ["string", "binary", "date", "timestamp", "timestamp_ntz", "boolean", "decimal(12,2)", "bigint", "tinyint"]
+)
+def test_falling_keys_of_any_type(skewed, kind):
+    source = {
+        "string": "substring('abcab', 1, int(v % 6)) || if(v % 4 = 0, 'é', '')",
+        "binary": "cast(substring('abcab', 1, int(v % 6)) as binary)",
+        "date": "date_add(date'1969-12-01', int(v))",
+        "timestamp": "timestamp_millis(int(v * 1000 - 300000))",
+        "timestamp_ntz": "cast(timestamp_millis(int(v * 1000 - 300000)) as timestamp_ntz)",
+        "boolean": "v > 300",
+        "bigint": "if(v = 42, -9223372036854775808, bigint(v))",
+        "tinyint": "tinyint(v % 128 - if(v % 128 = 0, 128, 0))",
+    }.get(kind, f"cast(v / 7 as {kind})")
+    rows = skewed.selectExpr("k", f"{source} AS v", "id")
+    cuts = ranking.fit_range_cuts(rows, ["k"], ["-v", "id"], rows_per_task=150)
+    assert cuts is not None and rows.dtypes[1][1] == kind
+    plain = ranking.number_rows(rows, ["k"], ["-v", "id"], "n")
+    assert collected(ranking.number_rows(rows, ["k"], ["-v", "id"], "n", cuts)) == collected(plain)
+
+
 def test_ranges_split_the_hot_group_and_isolate_the_hot_value(skewed):
     cuts = ranking.fit_range_cuts(skewed, ["k"], ["v"], rows_per_task=150)
     ranged, _ = ranking._ranged(skewed.filter("k = 'hot'"), cuts)
