@@ -259,7 +259,7 @@ def _linked(pairs: DataFrame, reps: DataFrame, base: DataFrame, conf: Near) -> D
 
 
 def _grouped(docs: DataFrame, conf: Near) -> DataFrame:
-    """Every document with its key and the least key its component holds, as ``least``."""
+    """Every document with its key and the least key its component holds, as ``least, least_h``."""
     base = keyed(docs)
     every = stage(base.mapInArrow(_sign(conf), SIGNED), "signatures")
     reps = (
@@ -299,16 +299,18 @@ def _grouped(docs: DataFrame, conf: Near) -> DataFrame:
         .mapInArrow(_across(conf), "a bigint, b bigint")
     )
     final = components(first.unionAll(stage(across, "confirmed")))
+    own = F.struct("_k", "_h")
     least = (
         reps.join(final, "node")
         .groupBy("label")
-        .agg(F.min("_k").alias("least"))
+        .agg(F.min(own).alias("least"))
         .join(final, "label")
         .select(F.col("node").alias("s1"), "least")
     )
-    alone = reps.select(F.col("node").alias("s1"), F.col("_k").alias("rep"))
+    alone = reps.select(F.col("node").alias("s1"), own.alias("rep"))
     joined = every.drop("sig").join(alone, "s1", "left").join(least, "s1", "left")
-    return joined.select("doc_id", "_k", "_h", "n", F.coalesce("least", "rep", "_k").alias("least"))
+    head = F.coalesce("least", "rep", own)
+    return joined.select("doc_id", "_k", "_h", "n", head["_k"].alias("least"), head["_h"].alias("least_h"))
 
 
 def near_duplicates(docs: DataFrame, conf: Near = Near()) -> DataFrame:
@@ -319,10 +321,12 @@ def near_duplicates(docs: DataFrame, conf: Near = Near()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, conf: Near = Near()) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their component, unchanged."""
+    """One row of each component, unchanged: of the least id, and under one id of the least
+    hash of the text.  Of rows that agree in both any one stays."""
     own = [f"_c{i}" for i in range(len(docs.columns))]
     at = {c: own[i] for i, c in enumerate(docs.columns)}
     key = F.coalesce(F.col(at["doc_id"]).cast("bigint"), F.lit(LEAST))
     inner = docs.toDF(*own).withColumns({"_k": key, "_h": F.xxhash64(F.coalesce(F.col(at["text"]), F.lit("")))})
-    kept = _grouped(docs, conf).filter("_k = least").select("_k", "_h")
-    return inner.join(kept, ["_k", "_h"], "left_semi").select(*own).toDF(*docs.columns)
+    kept = _grouped(docs, conf).filter("_k = least and _h = least_h").select("_k", "_h")
+    left = inner.join(kept, ["_k", "_h"], "left_semi")
+    return left.dropDuplicates(["_k", "_h"]).select(*own).toDF(*docs.columns)

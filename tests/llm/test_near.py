@@ -81,3 +81,15 @@ def test_signatures_estimate_similarity():
     b = np.r_[a[:3400], rng.integers(0, 2**63, 600, dtype=np.uint64)]
     same = (near.signature(a, 128) == near.signature(b, 128)).mean()
     assert abs(same - 3400 / 4600) < 0.13
+
+
+def test_one_row_of_each_component(table):
+    text = " ".join(f"w{i}" for i in range(200))
+    near_text, other, third = text + " more", "quite another text of its own", "a third one that nobody repeats"
+    rows = [(5, text), (5, text), (5, near_text), (9, text), (None, other), (None, other), (None, other + ""), (None, third), (7, other), (8, ""), (8, "")]
+    kept = sorted(((r.doc_id, r.text) for r in near.keep_one(table(rows), near.Near(5, 80, 100)).collect()), key=str)
+    assert len(kept) == 4 and kept[1][0] == 8
+    assert kept[0][0] == 5 and kept[0][1] in (text, near_text)
+    assert set(kept[2:]) == {(None, third), (None, other)}
+    same = [(None, text), (None, near_text), (None, text)]
+    assert near.keep_one(table(same), near.Near(5, 80, 100)).count() == 1
