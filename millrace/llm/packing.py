@@ -7,6 +7,9 @@ total demand; so scarce dimensions count most.  Documents longer than a bin give
 first.  A bin that no item fills is topped up by cutting one more, and the last bin
 of a task is cut into powers of two, which need no padding.
 
+All tokens but the first of a piece bear loss; no mask or role is read.  With the default limits
+the limit of loss follows from that of tokens; only a lower one binds.
+
 Each task packs its own documents in groups of bounded size, so nothing is shuffled, and
 only the last bin of a task can be short.  A sequence's id holds the partition and a running
 number; it depends on how the input is split into tasks, and a task run again gives the same.
