@@ -7,6 +7,10 @@ scores; of equal ones, that whose last piece begins first.  A character that no
 costs ten less than the least score and becomes its bytes, if the model has byte pieces, else
 the unknown id (once for a run of them).
 
+The method takes the scores of the file as they are.  Those of a BPE file are negative merge
+ranks, no log probabilities: the result is then the best path over ranks, neither the file's
+own encoding nor a Unigram segmentation trained on a corpus.
+
 Apart from runs of the white-space mark no piece holds the mark behind its first character,
 so the best segmentation of a text is that of its words laid end to end.  Words met before
 are taken from a bounded table in the worker; new words of equal length go through the trie
