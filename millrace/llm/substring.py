@@ -8,7 +8,9 @@ holds one of its anchors, and learns for each anchor the occurrence just before
 
 Parsing walks a document's anchors from left to right.  As grams are longer than the
 gaps between them, consecutive anchors whose earlier occurrences lie on one diagonal of
-one document are a verbatim copy; the greedy factor is the longest such run.  A factor of
+one document are a verbatim copy; the greedy factor is the longest such run.  Only the occurrence
+just before in the index is followed, so a factor ends where that one changes, though another
+earlier text may go on; factors are not the longest over all references.  A factor of
 at least one window is a duplicate span.  Windows that straddle factor boundaries, and
 the originals, are checked exactly: those with a repeated anchor that no factor covers are
 compared by 128-bit hashes, and all but the first of each are removed.  A window inside a
