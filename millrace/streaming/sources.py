@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from millrace.workspace import shared_dir
+from millrace.workspace import measure, shared_dir
+
+#: A replayed table has files of about so many bytes (as text), and this many at least.
+REPLAY_BYTES = 64 << 20
+REPLAY_FILES = 4
 
 
 def open_stream(
@@ -28,9 +32,11 @@ def stream_tables(
     return open_stream(spark, "parquet", schema=schema, path=directory, **options)
 
 
-def replay_table(df: DataFrame, files: int = 4, files_per_trigger: int = 1) -> DataFrame:
+def replay_table(df: DataFrame, files: int | None = None, files_per_trigger: int = 1) -> DataFrame:
     """Simulate a stream: the table is written out in files that arrive one trigger
-    after another."""
+    after another.  Their number follows from the measured size, if it is not given."""
+    if files is None:
+        files = max(REPLAY_FILES, -(-measure(df)[1] // REPLAY_BYTES))
     path = shared_dir(df.sparkSession, "replay")
     df.repartition(files).write.parquet(path)
     return stream_tables(df.sparkSession, path, "*.parquet", df.schema, files_per_trigger)

@@ -59,7 +59,7 @@ def stream_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_simulated_source", "SELECT event_type, count(*) AS row_count FROM events GROUP BY 1")
 def stream_simulated_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replayed file by file, counted with state kept between the triggers."""
-    replayed = replay_table(table(spark, sf_dir, "events").select("event_id", "event_type"), files=4)
+    replayed = replay_table(table(spark, sf_dir, "events").select("event_id", "event_type"))
     counts = replayed.groupBy("event_type").agg(F.count(F.lit(1)).alias("row_count"))
     path = shared_dir(spark, "event-counts")
     drain(complete_to_files(counts, path))

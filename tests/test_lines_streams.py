@@ -92,3 +92,15 @@ def test_complete_mode_needs_an_aggregation(spark, tmp_path):
     stream = streaming.open_stream(spark, "rate")
     with pytest.raises(Exception, match="omplete"):
         streaming.complete_to_files(stream, f"{tmp_path}/out")
+
+
+def test_replayed_files_follow_the_size(spark, monkeypatch):
+    from millrace.streaming import sources
+
+    rows, paths = spark.range(3000), []
+    monkeypatch.setattr(sources, "stream_tables", lambda spark, path, *rest: paths.append(path))
+    streaming.replay_table(rows)
+    monkeypatch.setattr(sources, "REPLAY_BYTES", 5_000)
+    streaming.replay_table(rows)
+    few, more = (len(spark.read.parquet(path).inputFiles()) for path in paths)
+    assert few == 4 and more == -(-sources.measure(rows)[1] // 5_000) > 4
