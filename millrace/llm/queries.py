@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import shared_dir
-from . import fingerprints, lines, near, negatives, packing, pieces, quality, quotes, substring, suffixes, tokenfile
+from . import fingerprints, lines, near, negatives, packing, pieces, quality, quotes, substring, suffixes, tokencount, tokenfile
 from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))

@@ -104,7 +104,8 @@ def test_odd_rows_take_no_part_and_columns_do_not_clash(spark):
         (402, [float("nan")] * 5, 1), (500, [float("inf")] * 5, 1), (403, [], 1), (404, [0.5, 0.5], 3), (550, [], 2),
     ]
     want = brute(rows + odd)
-    table = spark.createDataFrame([(*r, 1, "x", b"y") for r in rows + odd], SCHEMA.add("g", T.IntegerType()).add("a", T.StringType()).add("tile", T.BinaryType()))
+    wide = T.StructType([*SCHEMA.fields, T.StructField("g", T.IntegerType()), T.StructField("a", T.StringType()), T.StructField("tile", T.BinaryType())])
+    table = spark.createDataFrame([(*r, 1, "x", b"y") for r in rows + odd], wide)
     assert found(negatives.mine(table)) == want
 
 
