@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import shared_dir
-from . import fingerprints, lines, near, negatives, packing, pieces, quality, quotes, substring, suffixes, tokencount, tokenfile
+from . import alignment, fingerprints, lines, near, negatives, packing, pieces, quality, quotes, substring, suffixes, tokencount, tokenfile
 from .frames import documents, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))

@@ -52,7 +52,7 @@ class Full(Exception):
     """The transition table has no room for another state."""
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as they are and the others, in order,
     as the characters from 256 on."""
     plain = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -164,7 +164,7 @@ class Counter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
-        byte = _byte_of()
+        byte = byte_of()
 
         def symbols(token: str) -> tuple[int, ...]:
             last = token.endswith(END)
