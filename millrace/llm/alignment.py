@@ -118,11 +118,11 @@ class Aligner:
 
     def _learn(self, chunks: list[str]) -> None:
         found = self.a.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        owner = np.array(found.word_ids, np.int64)
+        ids, owner = found.ids, np.array(found.word_ids, np.int64)
         bounds = np.searchsorted(owner, np.arange(len(chunks) + 1)).tolist()
         others = self.b.encode(["\n" + c for c in chunks], num_threads=1)
         for k, (chunk, b) in enumerate(zip(chunks, others)):
-            a, lead = found.ids[bounds[k] : bounds[k + 1]], len(self.lead)
+            a, lead = ids[bounds[k] : bounds[k + 1]], len(self.lead)
             fit = self.groups(a, b[lead:], chunk.encode()) if b[:lead] == self.lead else None
             at = self.known[chunk] = len(self.said)
             if at == len(self.starts):
