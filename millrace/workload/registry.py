@@ -49,8 +49,28 @@ dirty AS (SELECT * FROM base UNION ALL SELECT * FROM base WHERE l_orderkey % 10
 """
 
 
+#: The same rows, each from one of three files; copies are from other files than their originals.
+FILED_SQL = DIRTY_SQL.rstrip() + """,
+filed AS (SELECT *, CASE day WHEN 0 THEN 'Tuesday' WHEN 1 THEN 'Friday' ELSE 'Monday' END || '-WorkingHours' AS source_file
+  FROM (SELECT *, l_orderkey % 3 AS day FROM base
+        UNION ALL SELECT *, (l_orderkey + 1) % 3 AS day FROM base WHERE l_orderkey % 10 = 0))
+"""
+
+
+def filed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``FILED_SQL``."""
+    day = (F.col("l_orderkey") + F.col("copy") - 1) % 3
+    name = F.when(day == 0, "Tuesday").when(day == 1, "Friday").otherwise("Monday")
+    return _dirty(spark, sf_dir).withColumn("source_file", F.concat(name, F.lit("-WorkingHours"))).drop("copy")
+
+
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of ``DIRTY_SQL``, from a single scan."""
+    """The rows of ``DIRTY_SQL``."""
+    return _dirty(spark, sf_dir).drop("copy")
+
+
+def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows from a single scan, with the number of the copy."""
     place = F.col("l_orderkey") + F.col("l_linenumber")
 
     def every(n: int) -> Column:
@@ -74,4 +94,4 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         rate.alias("rate"),
         F.when(every(29), F.lit(" ")).otherwise(F.concat(F.lit(" "), "l_returnflag", F.lit(" "))).alias("label"),
         F.explode(copies).alias("copy"),
-    ).drop("copy")
+    )

@@ -103,7 +103,7 @@ def test_scoring_with_the_saved_model_repeats_the_predictions(spark, trained):
 def test_models_save_over_themselves_and_predictions_stay_outside(spark, trained):
     _, result, folder = trained
     learning.save_model(result.model, f"{folder}/model")
-    assert learning.load_model(f"{folder}/model").getNumTrees == 10
+    assert learning.load_model(f"{folder}/model").getNumTrees == learning.FOREST["numTrees"]
     with pytest.raises(ValueError):
         learning.write_predictions(spark.range(1), f"{folder}/data/predictions", ["id"], data_set=f"{folder}/data")
 
