@@ -31,6 +31,7 @@ import hashlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,9 @@ from .tokens import CUTS
 #: Documents and links of a segment.  A bitmap has one bit for each document.
 SEGMENT_DOCS, SEGMENT_LINKS = 8192, 1 << 22
 #: Chunks remembered by a worker; then the table starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: A chunk with more links is aligned as part of its text.
+MOST_LINKS = 4096
 #: Of a pair ``a << SHIFT | b``.
 SHIFT = 16
 PLACE = 16
@@ -73,6 +76,9 @@ class Aligner:
         added = {i for i in self.a.get_added_tokens_decoder()}
         self.bytes_a = {i: bytes(byte[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if i not in added}
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.width_a, self.width_b = np.zeros(1 << SHIFT, np.int64), np.array([len(p) for p in self.bytes_b], np.int64)
+        for i, own in self.bytes_a.items():
+            self.width_a[i] = len(own)
         #: A line end is no part of any piece: what follows it is encoded as if a text began.
         self.lead = self.b.encode("\n")
         self.forget()
@@ -117,27 +123,76 @@ class Aligner:
         return ";".join(said), len(said), few, many
 
     def _learn(self, chunks: list[str]) -> None:
+        """Align new chunks side by side.  Those that are not given back byte by byte, or whose links
+        are many, are remembered as such."""
         found = self.a.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        ids, owner = found.ids, np.array(found.word_ids, np.int64)
-        bounds = np.searchsorted(owner, np.arange(len(chunks) + 1)).tolist()
-        others = self.b.encode(["\n" + c for c in chunks], num_threads=1)
-        for k, (chunk, b) in enumerate(zip(chunks, others)):
-            a, lead = ids[bounds[k] : bounds[k + 1]], len(self.lead)
-            fit = self.groups(a, b[lead:], chunk.encode()) if b[:lead] == self.lead else None
-            at = self.known[chunk] = len(self.said)
-            if at == len(self.starts):
-                self.starts, self.sizes = np.resize(self.starts, 2 * at), np.resize(self.sizes, (2 * at, 4))
-            if fit is None or fit[3]:
-                self.said.append(None)
+        ids_a, n_a = np.array(found.ids, np.int64), np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks))
+        lead, others = self.lead, self.b.encode(["\n" + c for c in chunks], num_threads=1)
+        others = [b[len(lead) :] if b[: len(lead)] == lead else [] for b in others]
+        n_b = np.array([len(b) for b in others], np.int64)
+        ids_b = np.fromiter(chain.from_iterable(others), np.int64, int(n_b.sum()))
+        raw = [c.encode() for c in chunks]
+        good = self._given_back(raw, (ids_a, n_a, self.bytes_a), (ids_b, n_b, self.bytes_b))
+        if not good.all():
+            ids_a, ids_b = ids_a[np.repeat(good, n_a)], ids_b[np.repeat(good, n_b)]
+            n_a, n_b = n_a * good, n_b * good
+        size = np.array([len(r) for r in raw], np.int64) * good
+        owner, said, pairs, n_pairs, n_groups = self._aligned(ids_a, ids_b, np.cumsum(size))
+        first, n = len(self.said), len(chunks)
+        while first + n > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, (2 * len(self.starts), 4))
+        while self.used + len(pairs) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        links = np.bincount(owner, n_pairs, minlength=n).astype(np.int64)
+        groups = np.bincount(owner, n_groups, minlength=n).astype(np.int64)
+        self.flat[self.used : self.used + len(pairs)] = pairs
+        self.starts[first : first + n] = self.used + np.cumsum(links) - links
+        self.sizes[first : first + n] = np.stack([n_a, n_b, groups, links], axis=1)
+        self.used += len(pairs)
+        few = good & (links <= MOST_LINKS)
+        self.said += [text if fine else None for text, fine in zip(said, few.tolist())]
+        self.known.update(zip(chunks, range(first, first + n)))
+
+    @staticmethod
+    def _given_back(raw: list[bytes], *sides: tuple) -> np.ndarray:
+        """Which chunks both tokenizers give back."""
+        whole, fit = b"".join(raw), np.ones(len(raw), bool)
+        for ids, n, table in sides:
+            parts = [table[i] for i in ids.tolist()]
+            lengths = np.array([len(p) for p in parts], np.int64)
+            ends = np.r_[0, np.cumsum(lengths)][np.cumsum(n)]
+            want = np.cumsum([len(r) for r in raw])
+            if np.array_equal(ends, want) and b"".join(parts) == whole:
                 continue
-            said, n, few, _ = fit
-            while self.used + len(few) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + len(few)] = few
-            self.starts[at] = self.used
-            self.sizes[at] = (len(a), len(b) - lead, n, len(few))
-            self.used += len(few)
-            self.said.append(said)
+            at = np.r_[0, np.cumsum(n)].tolist()
+            fit &= [b"".join(parts[i:j]) == r for i, j, r in zip(at, at[1:], raw)]
+        return fit
+
+    def _aligned(self, ids_a: np.ndarray, ids_b: np.ndarray, bounds: np.ndarray) -> tuple:
+        """Groups of chunks laid end to end; ``bounds`` are the chunks' ends in bytes.  Of every
+        group its chunk, of every chunk its groups in writing, all pairs, pairs of each group, ones."""
+        end_a, end_b = np.cumsum(self.width_a[ids_a]), np.cumsum(self.width_b[ids_b])
+        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        n_a, n_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+        each = n_b[of_a]
+        place = np.repeat((np.cumsum(n_b) - n_b)[of_a] - np.cumsum(each) + each, each) + np.arange(int(each.sum()))
+        pairs = np.repeat(ids_a, each) << SHIFT | ids_b[place]
+        # In writing: the tokens of a group, A before B, with what stands after each.
+        order = np.argsort(np.r_[2 * of_a, 2 * of_b + 1], kind="stable")
+        group = np.r_[of_a, of_b][order]
+        last_a, last = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        ends = np.cumsum(n_a + n_b)
+        last_a[ends - n_b - 1], last[ends - 1] = True, True
+        owner = np.searchsorted(bounds, cuts)
+        closes = np.r_[owner[1:] != owner[:-1], True] if len(owner) else np.zeros(0, bool)
+        after = np.where(last_a, 1, np.where(last, np.where(closes[group], 3, 2), 0))
+        words = [str(i) for i in np.r_[ids_a, ids_b][order].tolist()]
+        signs = [(",", "|", ";", "")[k] for k in after.tolist()]
+        text = "".join(chain.from_iterable(zip(words, signs)))
+        sizes = np.array([len(w) for w in words], np.int64) + (after < 3)
+        at = np.r_[0, np.cumsum(np.bincount(owner[group], sizes, minlength=len(bounds)))].astype(np.int64).tolist()
+        return owner, [text[i:j] for i, j in zip(at, at[1:])], pairs, n_a * n_b, np.ones(len(cuts))
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], list[np.ndarray], list[Counter]]:
         """Of every text the sizes (tokens of A and B, groups, links), the groups' hash, its pairs
