@@ -1,8 +1,9 @@
 """Row numbers, ranks and running totals that survive dominant groups.
 
-A window function gathers each group in one task.  Groups larger than a task should
-hold are therefore cut into consecutive ranges of their order first; every range is
-numbered on its own and shifted by the number of rows in the ranges before it.
+A window function gathers each group in one task.  Groups larger than a task should hold are
+therefore range-partitioned by group and order instead, and sorted where they lie: every row's
+place in its partition is known without a window, and what the partitions before hold of its
+group is a sum over one small row for each pair of partition and group.
 """
 
 from __future__ import annotations
@@ -13,17 +14,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions import quoted
-from millrace.workspace import BROADCAST_BYTES, measure, stage
+from millrace.operators.lookup import lookup
+from millrace.workspace import FittedTable, freeze, stage, staged
 
 #: Rows of one group that a single task may sort.
 ROWS_PER_TASK = 4_000_000
-#: At most this many ranges are cut in all; rows per task grows to keep the bound.
-MAX_RANGES = 20_000
-#: Sampled rows per range, from which the cut points are taken.
-SAMPLES_PER_RANGE = 32
+#: ``monotonically_increasing_id`` counts a partition's rows in this many low bits.
+PLACE_BITS = 33
 
 
 def order_columns(order_by: Sequence[str]) -> list[Column]:
@@ -31,104 +30,19 @@ def order_columns(order_by: Sequence[str]) -> list[Column]:
     return [quoted(name[1:]).desc() if name.startswith("-") else quoted(name).asc() for name in order_by]
 
 
-def _falling(c: Column, kind: T.DataType) -> list[Column]:
-    """Rising columns that order ``c`` downwards."""
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return [~F.isnan(c), -c]
-    if isinstance(kind, T.IntegralType):
-        return [F.bitwise_not(c)]  # unlike the negative, never out of range
-    if isinstance(kind, T.DecimalType):
-        return [-c]
-    if isinstance(kind, T.BooleanType):
-        return [~c]
-    if isinstance(kind, T.DateType):
-        return [-F.unix_date(c)]
-    if isinstance(kind, T.TimestampType):
-        return [-F.unix_micros(c)]
-    if isinstance(kind, T.TimestampNTZType):
-        return [F.timestamp_diff("MICROSECOND", c, F.lit("1970-01-01").cast("timestamp_ntz"))]
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        # The complement of the bytes, with an end that is greater than any digit.
-        digits = F.translate(F.hex(c.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210")
-        return [F.concat(digits, F.lit("G"))]
-    raise TypeError(f"no falling order for {kind.simpleString()}")
-
-
-def _order_key(df: DataFrame, order_by: Sequence[str]) -> Column:
-    """A struct that compares like ``order_by``: NULL first and NaN last when rising, and
-    the other way round when falling."""
-    parts: list[Column] = []
-    for name in order_by:
-        if name.startswith("-"):
-            c = quoted(name[1:])
-            parts += [c.isNull(), *_falling(c, df.select(c).schema[0].dataType)]
-        else:
-            parts.append(quoted(name))
-    return F.struct(*[part.alias(f"o{i}") for i, part in enumerate(parts)])
-
-
-def ranges_below(cuts: Column, key: Column, max_cuts: int) -> Column:
-    """How many of the ascending ``cuts`` are ``<= key``, by binary search in the array."""
-    steps = [1 << bit for bit in range(max(1, max_cuts).bit_length() - 1, -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda found, step: F.when(F.get(cuts, found + step - 1) <= key, found + step).otherwise(found),
-    )
-
-
-def range_index(cuts: Column, key: Column, max_cuts: int) -> Column:
-    """Ordered range of ``key``: odd numbers for keys equal to a cut, even ones for the
-    keys strictly between two cuts.  A key that repeats often becomes a cut itself and
-    so gets a range of its own."""
-    below = ranges_below(cuts, key, max_cuts)
-    at_cut = F.coalesce((F.get(cuts, below - 1) == key).cast("int"), F.lit(0))
-    return 2 * below - at_cut
-
-
 @dataclass(frozen=True)
-class RangeCuts:
-    """Ascending cut points of the large groups, one row per group."""
+class LargeGroups:
+    """The groups that one task should not sort, with their sizes."""
 
-    table: DataFrame
+    table: FittedTable
+    rows: int
     partition_by: tuple[str, ...]
     order_by: tuple[str, ...]
-    max_cuts: int
-
+    rows_per_task: int
 
-def fit_range_cuts(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    order_by: Sequence[str],
-    *,
-    rows_per_task: int = ROWS_PER_TASK,
-    seed: int = 11,
-) -> RangeCuts | None:
-    """Find the groups too large for one task and where to cut them.
-
-    ``None`` if there are none, which one count by group finds out.  Otherwise the
-    large groups (never more than ``MAX_RANGES``) are sampled for evenly spaced cut
-    points.  Sampling decides only where the cuts fall, never what the result is.
-    """
-    keyed, names = _with_groups(df, partition_by)
-    keyed = keyed.select(*names, _order_key(keyed, order_by).alias("key"))
-    sizes = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("size"))
-    total, largest = sizes.agg(F.sum("size"), F.max("size")).first()
-    if not largest or largest <= rows_per_task:
-        return None
-    limit = max(rows_per_task, -(-total // MAX_RANGES))
-    ranges = F.ceil(F.col("size") / F.lit(limit))
-    large = stage(sizes.filter(F.col("size") > limit).withColumn("ranges", ranges), "large-groups")
-    chance = F.lit(float(SAMPLES_PER_RANGE)) * F.col("ranges") / F.col("size")
-    sample = _attach(keyed, large, names, "inner").filter(F.rand(seed) < chance)
-    place = F.row_number().over(Window.partitionBy(*names).orderBy("key"))
-    spaced = stage(sample.withColumn("place", place).filter(F.col("place") % SAMPLES_PER_RANGE == 0), "range-cuts")
-    # Long keys: cut less often, so that the cuts can still be broadcast.
-    thinning = SAMPLES_PER_RANGE * max(1, -(-measure(spaced)[1] // BROADCAST_BYTES))
-    cuts = F.array_sort(F.array_distinct(F.collect_list("key"))).alias("cuts")
-    table = spaced.filter(F.col("place") % thinning == 0).groupBy(*names).agg(cuts)
-    longest = table.agg(F.max(F.size("cuts"))).first()[0]
-    return RangeCuts(table, tuple(partition_by), tuple(order_by), longest) if longest else None
+    @property
+    def pieces(self) -> int:
+        return -(-self.rows // self.rows_per_task)
 
 
 def _with_groups(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -138,30 +52,42 @@ def _with_groups(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame,
     return df.select("*", *[c.alias(n) for c, n in zip(sources, names)]), names
 
 
-def _attach(df: DataFrame, table: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """Broadcast-join a table of bounded size; NULL is a group like any other."""
-    renamed = table.withColumnsRenamed({name: f"{name}_" for name in names})
-    on = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"{name}_")) for name in names])
-    return df.join(F.broadcast(renamed), on, how).drop(*[f"{name}_" for name in names])
-
-
-def _ranged(df: DataFrame, cuts: RangeCuts) -> tuple[DataFrame, list[str]]:
-    """Add the group columns, ``__range``, and the number of rows in earlier ranges."""
-    grouped, names = _with_groups(df, cuts.partition_by)
-    index = range_index(F.col("cuts"), _order_key(df, cuts.order_by), cuts.max_cuts)
-    ranged = _attach(grouped, cuts.table, names, "left").withColumn(
-        "__range", F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(index)
-    )
-    keys = [*names, "__range"]
-    # At most two ranges per cut, so the table of their sizes is as bounded as the cuts.
-    sizes = ranged.filter(F.col("cuts").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy(*names).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(*keys, F.sum("size").over(earlier).alias("__before"))
-    return _attach(ranged.drop("cuts"), before, keys, "left"), names
-
-
-def _shifted(local: Column) -> Column:
-    return (F.coalesce(F.col("__before"), F.lit(0)) + local).cast("bigint")
+def fit_range_cuts(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], *, rows_per_task: int = ROWS_PER_TASK
+) -> LargeGroups | None:
+    """Find the groups too large for one task; ``None`` if there are none, which one count by
+    group finds out."""
+    grouped, names = _with_groups(df, partition_by)
+    with staged(grouped.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "group-sizes") as sizes:
+        large = sizes.filter(F.col("n") > rows_per_task)
+        rows = large.agg(F.sum("n")).first()[0]
+        if not rows:
+            return None
+        # No more of them than the rows hold limits, so the table is as small as that quotient.
+        return LargeGroups(freeze(large, "large-groups"), rows, tuple(partition_by), tuple(order_by), rows_per_task)
+
+
+def _parted(df: DataFrame, groups: LargeGroups) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows of small groups and rows of large ones, both with the group columns."""
+    grouped, names = _with_groups(df, groups.partition_by)
+    keys = [f"{n}_" for n in names]
+    table = groups.table.table.select(*[F.col(n).alias(k) for n, k in zip(names, keys)])
+    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(k)) for n, k in zip(names, keys)])
+    few = F.broadcast(table)
+    return grouped.join(few, on, "left_anti"), grouped.join(few, on, "left_semi"), names
+
+
+def _placed(large: DataFrame, names: list[str], groups: LargeGroups) -> tuple[DataFrame, FittedTable]:
+    """Rows range-partitioned by group and order and sorted, with their ``__part`` and place
+    ``__at``; and for each part and group its first place and the rows in earlier parts."""
+    order = [*map(F.col, names), *order_columns(groups.order_by)]
+    ranged = large.repartitionByRange(groups.pieces, *order).sortWithinPartitions(*order)
+    rows = stage(ranged.withColumn("__at", F.monotonically_increasing_id()), "ranged-rows")
+    rows = rows.withColumn("__part", F.shiftright("__at", PLACE_BITS))
+    parts = rows.groupBy(*names, "__part").agg(F.min("__at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*names).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return rows, freeze(before, "range-offsets")
 
 
 def number_rows(
@@ -169,16 +95,55 @@ def number_rows(
     partition_by: Sequence[str],
     order_by: Sequence[str],
     name: str = "row_number",
-    cuts: RangeCuts | None = None,
+    cuts: LargeGroups | None = None,
 ) -> DataFrame:
     """``row_number`` within each group.  ``order_by`` has to end in a unique key, or
-    equal rows get their numbers in any order.  Pass fitted ``cuts`` for large groups."""
+    equal rows get their numbers in any order.  Pass what ``fit_range_cuts`` found for large
+    groups: their rows are shuffled once, by range, and pass no window."""
+    own = [quoted(c) for c in df.columns]
     if cuts is None:
         window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(*order_columns(order_by))
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    ranged, names = _ranged(df, cuts)
-    window = Window.partitionBy(*names, "__range").orderBy(*order_columns(order_by))
-    return ranged.select(*[quoted(c) for c in df.columns], _shifted(F.row_number().over(window)).alias(name))
+    small, large, names = _parted(df, cuts)
+    window = Window.partitionBy(*map(F.col, names)).orderBy(*order_columns(order_by))
+    plain = small.select(*own, F.row_number().over(window).cast("bigint").alias(name))
+    rows, offsets = _placed(large, names, cuts)
+    found = lookup(rows, offsets, {n: n for n in [*names, "__part"]})
+    number = F.col("__at") - F.col("first") + F.col("before") + 1
+    return plain.unionAll(found.select(*own, number.cast("bigint").alias(name)))
+
+
+def prefix_sums(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str],
+    value: str,
+    name: str = "before",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Sum of ``value`` over the earlier rows of the group, 0 for the first.  ``order_by`` has to
+    be unique within a group."""
+    own, zero = [quoted(c) for c in df.columns], F.lit(0).cast(df.schema[value].dataType)
+
+    def earlier(keys: Sequence[Column], order: Sequence[Column]) -> Column:
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(quoted(value)).over(window), zero)
+
+    order = order_columns(order_by)
+    cuts = fit_range_cuts(df, partition_by, order_by, rows_per_task=rows_per_task)
+    if cuts is None:
+        return df.select(*own, earlier([quoted(c) for c in partition_by], order).alias(name))
+    small, large, names = _parted(df, cuts)
+    groups = [F.col(n) for n in names]
+    rows, _ = _placed(large, names, cuts)
+    # A part holds about as many rows as a task may sort, so windows over parts are bounded.
+    parts = rows.groupBy(*names, "__part").agg(F.sum(quoted(value)).alias("total"), F.count(F.lit(1)).alias("n"))
+    start = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = freeze(parts.select(*names, "__part", "n", F.coalesce(F.sum("total").over(start), zero).alias("__start")), "offsets")
+    inside = rows.withColumn("__inside", earlier([*groups, F.col("__part")], [F.col("__at")]))
+    found = lookup(inside, offsets, {n: n for n in [*names, "__part"]})
+    total = (F.col("__inside") + F.col("__start")).alias(name)
+    return small.select(*own, earlier(groups, order).alias(name)).unionAll(found.select(*own, total))
 
 
 def rank_rows(
@@ -186,19 +151,26 @@ def rank_rows(
     partition_by: Sequence[str],
     order_by: Sequence[str],
     name: str = "rank",
-    cuts: RangeCuts | None = None,
+    cuts: LargeGroups | None = None,
 ) -> DataFrame:
-    """``rank`` within each group.  With ``cuts``, values so frequent that they became a
-    cut need no window at all: their rank is the number of rows before them plus one."""
+    """``rank`` within each group.  In large groups (see ``fit_range_cuts``) equal keys are merged
+    before the shuffle; a rank is one more than the rows with earlier keys, and goes back to
+    the rows by a lookup, which is made for keys that very many rows share."""
     if cuts is None:
         window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(*order_columns(order_by))
         return df.withColumn(name, F.rank().over(window).cast("bigint"))
-    ranged, names = _ranged(df, cuts)
-    columns = [quoted(c) for c in df.columns]
-    window = Window.partitionBy(*names, "__range").orderBy(*order_columns(order_by))
-    tied = ranged.filter(F.col("__range") % 2 == 1).select(*columns, _shifted(F.lit(1)).alias(name))
-    rest = ranged.filter(F.col("__range") % 2 == 0)
-    return tied.unionAll(rest.select(*columns, _shifted(F.rank().over(window)).alias(name)))
+    own = [quoted(c) for c in df.columns]
+    small, large, names = _parted(df, cuts)
+    window = Window.partitionBy(*map(F.col, names)).orderBy(*order_columns(order_by))
+    plain = small.select(*own, F.rank().over(window).cast("bigint").alias(name))
+    keys = [c.removeprefix("-") for c in order_by]
+    aliases, own_groups = [f"__o{i}" for i in range(len(keys))], [f"__k{i}" for i in range(len(names))]
+    keyed = large.select("*", *[quoted(c).alias(a) for c, a in zip(keys, aliases)]).withColumnsRenamed(dict(zip(names, own_groups)))
+    tally = keyed.groupBy(*own_groups, *aliases).agg(F.count(F.lit(1)).alias("n"))
+    order = [f"-{a}" if c.startswith("-") else a for c, a in zip(order_by, aliases)]
+    before = prefix_sums(stage(tally, "tally"), own_groups, order, "n", "__before", cuts.rows_per_task)
+    found = lookup(keyed, freeze(before, "ranks"), {c: c for c in [*own_groups, *aliases]})
+    return plain.unionAll(found.select(*own, (F.col("__before") + 1).cast("bigint").alias(name)))
 
 
 def top_rows(df: DataFrame, order_by: Sequence[str], count: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import ranking
@@ -27,7 +28,7 @@ def collected(df):
 @pytest.mark.parametrize("order", [["v", "id"], ["-v", "id"], ["-id"]])
 def test_numbers_by_ranges(skewed, groups, order):
     cuts = ranking.fit_range_cuts(skewed, groups, order, rows_per_task=150)
-    assert cuts is not None and cuts.max_cuts > 5
+    assert cuts is not None and cuts.pieces > 5
     plain = ranking.number_rows(skewed, groups, order, "n")
     assert collected(ranking.number_rows(skewed, groups, order, "n", cuts)) == collected(plain)
 
@@ -61,22 +62,40 @@ def test_falling_keys_of_any_type(skewed, kind):
     assert collected(ranking.number_rows(rows, ["k"], ["-v", "id"], "n", cuts)) == collected(plain)
 
 
-def test_ranges_split_the_hot_group_and_isolate_the_hot_value(skewed):
-    cuts = ranking.fit_range_cuts(skewed, ["k"], ["v"], rows_per_task=150)
-    ranged, _ = ranking._ranged(skewed.filter("k = 'hot'"), cuts)
-    sizes = {r["__range"]: r["count"] for r in ranged.groupBy("__range").count().collect()}
-    hot = {r[0] for r in ranged.filter("v = 42").select("__range").distinct().collect()}
-    assert len(hot) == 1 and hot.pop() % 2 == 1
-    assert max(n for place, n in sizes.items() if place % 2 == 0) < 1500
+def test_ranges_split_the_hot_group(skewed):
+    cuts = ranking.fit_range_cuts(skewed, ["k"], ["v", "id"], rows_per_task=150)
+    assert cuts.rows == skewed.groupBy("k").count().filter("count > 150").agg({"count": "sum"}).first()[0]
+    _, large, names = ranking._parted(skewed.filter("k = 'hot'"), cuts)
+    rows, offsets = ranking._placed(large, names, cuts)
+    sizes = [r["count"] for r in rows.groupBy("__part").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 900 and sum(sizes) == 4200
+    assert sorted(r["before"] for r in offsets.table.collect())[0] == 0
+
+
+def test_plain_windows_see_no_row_of_a_large_group(skewed):
+    cuts = ranking.fit_range_cuts(skewed, ["k"], ["v", "id"], rows_per_task=150)
+    small, large, _ = ranking._parted(skewed, cuts)
+    assert small.groupBy("k").count().filter("count > 150").count() == 0 and large.count() == cuts.rows
+
+
+@pytest.mark.parametrize("groups", [["k"], []])
+@pytest.mark.parametrize("rows_per_task", [150, 4_000_000])
+def test_prefix_sums(skewed, groups, rows_per_task):
+    rows = skewed.withColumn("w", F.col("id") % 7)
+    window = Window.partitionBy(*groups).orderBy(F.col("v").desc(), "id").rowsBetween(Window.unboundedPreceding, -1)
+    plain = rows.withColumn("before", F.coalesce(F.sum("w").over(window), F.lit(0)))
+    assert collected(ranking.prefix_sums(rows, groups, ["-v", "id"], "w", "before", rows_per_task)) == collected(plain)
+
+
+def test_large_groups_pass_one_shuffle_and_no_window(skewed):
+    hot = skewed.filter("k = 'hot'")
+    cuts = ranking.fit_range_cuts(hot, ["k"], ["v", "id"], rows_per_task=150)
+    assert ranking._parted(hot, cuts)[0].count() == 0
+    _, large, names = ranking._parted(hot, cuts)
+    rows, _ = ranking._placed(large, names, cuts)
+    assert "Window" not in rows._jdf.queryExecution().toString()
 
 
 def test_no_cuts_for_small_groups(skewed):
     assert ranking.fit_range_cuts(skewed, ["k"], ["v"]) is None
     assert ranking.fit_range_cuts(skewed.limit(0), ["k"], ["v"]) is None
-
-
-def test_search_in_cuts(spark):
-    df = spark.createDataFrame([(float(v),) for v in range(12)], "v double")
-    cuts = F.array(*[F.lit(float(c)) for c in (2, 4, 8)])
-    found = [r[0] for r in df.select(ranking.range_index(cuts, F.col("v"), 3)).collect()]
-    assert found == [0, 0, 1, 2, 3, 4, 4, 4, 5, 6, 6, 6]
