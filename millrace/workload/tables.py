@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import columns, profile, ranking, relational
+from millrace.operators import columns, profile, ranking, relational, selection
 from millrace.sources import view_query
 from millrace.workload.registry import query, table
 
@@ -146,6 +146,26 @@ def quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3")})
 
 
+OWN_TYPE = """SELECT quantile_disc({c}, 0.25) AS {a}_q1, quantile_disc({c}, 0.5) AS {a}_median,
+  quantile_disc({c}, 0.75) AS {a}_q3 FROM own"""
+#: Keys far beyond what doubles tell apart, and days.
+OWN_ROWS = """own AS (SELECT CAST(o_orderkey AS BIGINT) + 9007199254740992 AS key,
+  CAST(o_orderdate AS DATE) AS day FROM orders)"""
+
+
+@query(
+    "quantiles_own_type",
+    f"""WITH {OWN_ROWS} SELECT * FROM ({OWN_TYPE.format(c='key', a='key')}), ({OWN_TYPE.format(c='day', a='day')})""",
+)
+def quantiles_own_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey").cast("bigint") + F.lit(9007199254740992)
+    rows = table(spark, sf_dir, "orders").select(key.alias("key"), F.col("o_orderdate").cast("date").alias("day"))
+    found = selection.discrete_quantiles(rows, ["key", "day"], [0.25, 0.5, 0.75])
+    names = [f"{c}_{q}" for c in ("key", "day") for q in ("q1", "median", "q3")]
+    kinds = ", ".join(f"{n} {'bigint' if n.startswith('key') else 'date'}" for n in names)
+    return spark.createDataFrame([(*found["key"], *found["day"])], kinds)
+
+
 @query("quartiles_approx")
 def quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.quartiles(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
@@ -206,6 +226,48 @@ def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_rows(lines, groups, order, "place", ranking.fit_range_cuts(lines, groups, order))
 
 
+#: Rows of a group that the queries below leave to one task; all groups are larger, as the largest
+#: are in tables of real size.
+FEW_ROWS = 600
+
+
+@query(
+    "window_row_number_large",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, row_number() OVER (
+         PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS row_num FROM orders""",
+)
+def window_row_number_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    groups, order = ["o_orderstatus"], ["-o_totalprice", "o_orderkey"]
+    large = ranking.fit_range_cuts(orders, groups, order, rows_per_task=FEW_ROWS)
+    return ranking.number_rows(orders, groups, order, "row_num", large)
+
+
+@query(
+    "window_rank_large",
+    """SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice,
+         rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC, l_extendedprice) AS place FROM lineitem""",
+)
+def window_rank_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "l_extendedprice"]
+    lines = table(spark, sf_dir, "lineitem").select(columns)
+    groups, order = ["l_returnflag"], ["-l_quantity", "l_extendedprice"]
+    large = ranking.fit_range_cuts(lines, groups, order, rows_per_task=FEW_ROWS)
+    return ranking.rank_rows(lines, groups, order, "place", large)
+
+
+@query(
+    "window_running_total",
+    """SELECT o_orderkey, o_orderstatus, coalesce(sum(CAST(o_custkey AS HUGEINT)) OVER (
+         PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM orders""",
+)
+def window_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", F.col("o_custkey").cast("bigint"))
+    totals = ranking.prefix_sums(orders, ["o_orderstatus"], ["o_orderdate", "o_orderkey"], "o_custkey", rows_per_task=FEW_ROWS)
+    return totals.select("o_orderkey", "o_orderstatus", "before")
+
+
 @query(
     "top_k",
     "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
