@@ -221,6 +221,20 @@ def split_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.split_stratified(orders, "o_orderstatus", "o_orderkey", 0.8)
 
 
+@query(
+    "split_stratified_large",
+    """SELECT o_orderkey, stratum, CASE WHEN row_number() OVER (
+           PARTITION BY stratum ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey)
+         <= 0.7 * count(*) OVER (PARTITION BY stratum) THEN 'train' ELSE 'test' END AS part
+       FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN o_orderstatus ELSE 'most' END AS stratum FROM orders)""",
+)
+def split_stratified_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stratum holds nine tenths of the rows; its bins are searched until they are small."""
+    stratum = F.when(F.col("o_orderkey") % 10 == 0, F.col("o_orderstatus")).otherwise("most")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", stratum.alias("stratum"))
+    return sampling.split_stratified(orders, "stratum", "o_orderkey", 0.7, rows_per_task=20, bin_digits=1)
+
+
 def _predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         (F.col("l_returnflag") == "R").cast("double").alias("y"),
@@ -255,6 +269,32 @@ def binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.overall_metrics(metrics.tally(_predicted(spark, sf_dir), "y", "prediction"), digits=4)
 
 
+def _auc_sql(score: str) -> str:
+    return f"""WITH g AS (SELECT {score} AS s, CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS p,
+           CAST(count(*) FILTER (WHERE l_returnflag <> 'R') AS DOUBLE) AS n FROM lineitem GROUP BY 1),
+         r AS (SELECT *, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cn FROM g)
+       SELECT round(sum(p * (cn + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM r"""
+
+
+@query("auc_exact_large", _auc_sql("l_extendedprice"))
+def auc_exact_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With more distinct scores than one task may sort."""
+    tallied = metrics.tally(_predicted(spark, sf_dir), "y", "prediction", "l_extendedprice")
+    return metrics.area_under_roc(tallied, rows_per_task=600).withColumn("auc", F.round("auc", 6))
+
+
+@query(
+    "string_index_large",
+    f"""WITH {_index_sql('lineitem', 'l_partkey', 'p')}
+        SELECT l_orderkey, l_linenumber, l_partkey, idx AS part_index FROM lineitem JOIN p ON label = CAST(l_partkey AS VARCHAR)""",
+)
+def string_index_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With more labels than one task may sort."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    fitted = features.fit_categories(lines, ["l_partkey"], rows_per_task=600)
+    return features.index_categories(lines, fitted, {"l_partkey": "part_index"})
+
+
 @query(
     "auc_exact",
     """WITH g AS (SELECT l_extendedprice AS s, CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS p,
