@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import bucket, flag_unless, ratio
@@ -181,9 +181,27 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("class_weight", F.round("class_weight", 6))
 
 
-@query("sample_fraction")
+@query(
+    "sample_fraction",
+    "SELECT count(*) AS all_rows, true AS size_is_likely, CAST(0 AS BIGINT) AS strangers, CAST(0 AS BIGINT) AS repeats FROM orders",
+)
 def sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample_fraction(table(spark, sf_dir, "orders"), 0.05, 42).select("o_orderkey", "o_totalprice")
+    """A sample differs with the partitioning, but not in these respects."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    drawn = sampling.sample_fraction(orders, 0.05, 42).withColumn("drawn", F.lit(1)).groupBy("o_orderkey", "o_totalprice").agg(F.sum("drawn").alias("drawn"))
+    both = orders.join(drawn, ["o_orderkey", "o_totalprice"], "full")
+    counts = both.join(orders.select("o_orderkey", F.lit(1).alias("known")), "o_orderkey", "left").agg(
+        F.count("known").alias("all_rows"),
+        _is_likely(F.coalesce(F.sum("drawn"), F.lit(0)), F.count("known"), 0.05).alias("size_is_likely"),
+        F.count_if(F.col("known").isNull()).alias("strangers"),
+        F.count_if(F.col("drawn") > 1).alias("repeats"),
+    )
+    return counts
+
+
+def _is_likely(n: Column, rows: Column, share: float) -> Column:
+    """Whether ``n`` of ``rows`` is within six deviations of the share."""
+    return F.abs(n - rows * share) <= 6 * F.sqrt(rows * (share * (1 - share))) + 1
 
 
 HASH = "CAST(concat('0x', substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 100"
@@ -194,11 +212,20 @@ def sample_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_by_hash(table(spark, sf_dir, "orders"), "o_orderkey", 5).select("o_orderkey", "o_totalprice")
 
 
-@query("split_random")
+@query(
+    "split_random",
+    "SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS keys, true AS size_is_likely FROM orders",
+)
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides together are the rows, each once, and have about the sizes asked for."""
     sides = sampling.split_random(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
     train, test = (side.withColumn("part", F.lit(name)) for side, name in zip(sides, ("train", "test")))
-    return train.unionByName(test)
+    rows = F.count(F.lit(1))
+    return train.unionByName(test).agg(
+        rows.alias("row_count"),
+        F.count_distinct("o_orderkey").alias("keys"),
+        _is_likely(F.count_if(F.col("part") == "train"), rows, 0.8).alias("size_is_likely"),
+    )
 
 
 @query(

@@ -166,9 +166,24 @@ def quantiles_own_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(*found["key"], *found["day"])], kinds)
 
 
-@query("quartiles_approx")
+@query(
+    "quartiles_approx",
+    """SELECT column_name, true AS q1_in_rank, true AS median_in_rank, true AS q3_in_rank
+       FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_tax')) AS v(column_name)""",
+)
 def quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.quartiles(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
+    """The ranks of the estimates are within the stated error, a ten-thousandth of the rows."""
+    lines, names = table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_tax"]
+    found = {r["column_name"]: r for r in profile.quartiles(lines, names).collect()}
+    checks = []
+    for name in names:
+        marks = [F.lit(name).alias("column_name")]
+        for q, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+            c, value, rows = F.col(name).cast("double"), F.lit(float(found[name][q])), F.count(name)
+            under, upto = F.count_if(c < value), F.count_if(c <= value)
+            marks.append(((under <= rows * (share + 1e-4) + 1) & (upto >= rows * (share - 1e-4) - 1)).alias(f"{q}_in_rank"))
+        checks.append(F.struct(*marks))
+    return lines.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
 
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
