@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructType
 
-from millrace.workspace import shared_dir
+from millrace.workspace import discard, shared_dir
 
 
 def _writer(df: DataFrame, mode: str, checkpoint: str | None, continuous: bool) -> DataStreamWriter:
@@ -51,6 +55,53 @@ def complete_to_files(
     return _writer(df, "complete", checkpoint, continuous).foreachBatch(replace).start()
 
 
+PUBLISHED = "batch long, folder string"
+
+
+def publish_complete(
+    df: DataFrame, path: str, checkpoint: str | None = None, continuous: bool = False, keep: int = 2
+) -> StreamingQuery:
+    """Keep the complete result of the last triggers, for readers who must never see half of one.
+
+    Every trigger writes a folder of its own, and then enters it, with the number of its batch, in
+    a list of published results.  A reader (see ``read_published``) sees the last one entered, so
+    one that is being written, or was left behind by a trigger that failed and ran again,
+    does no harm.  Results older than the last ``keep`` are emptied.
+    """
+
+    def publish(result: DataFrame, batch: int) -> None:
+        spark, folder = result.sparkSession, f"{path}/results/{batch}-{uuid.uuid4().hex}"
+        result.write.parquet(folder)
+        entry = spark.createDataFrame([(batch, folder)], PUBLISHED)
+        entry.coalesce(1).write.mode("append").parquet(f"{path}/published")
+        discard(spark, *(r["folder"] for r in published(spark, path) if r["batch"] == batch - keep))
+
+    return _writer(df, "complete", checkpoint, continuous).foreachBatch(publish).start()
+
+
+def published(spark: SparkSession, path: str) -> list[Row]:
+    """The list of published results, ``batch`` and ``folder``; one row for each trigger."""
+    try:
+        return spark.read.schema(PUBLISHED).parquet(f"{path}/published").orderBy("batch", "folder").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def read_published(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The last result that was published whole; no rows before the first."""
+    rows = published(spark, path)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(next(r["folder"] for r in rows if r["batch"] == rows[-1]["batch"]))
+
+
+def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """What a stopped aggregation has in its state: its keys and running values."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*", "value.*")
+
+
 def drain(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
     """Wait until a query over the available data ends; errors are raised."""
     try:

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.streaming import (
-    complete_to_files,
     count_words,
     drain,
     files_sink,
+    publish_complete,
+    read_published,
+    read_state,
     replay_table,
     split_words,
     stream_tables,
@@ -42,8 +44,21 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_words(split_words(_stream(spark, sf_dir, "documents"), "text"), name="row_count")
     path = shared_dir(spark, "word-counts")
-    drain(complete_to_files(counts, path))
-    return spark.read.schema("word string, row_count bigint").parquet(path)
+    drain(publish_complete(counts, path))
+    return read_published(spark, path, "word string, row_count bigint")
+
+
+@query("stream_restart", WORDS.replace("FROM documents", "FROM conversations"))
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that stop after half of the files and go on from their state when the others are there;
+    told from the state itself."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "text")
+    source, state, path = (shared_dir(spark, name) for name in ("arrivals", "counting", "word-counts"))
+    for half in (0, 1):
+        rows.filter(F.pmod(F.xxhash64("conv_id"), F.lit(2)) == half).write.mode("append").parquet(source)
+        words = split_words(stream_tables(spark, source, "*.parquet", rows.schema, files_per_trigger=2), "text")
+        drain(publish_complete(count_words(words, name="row_count"), path, state))
+    return read_state(spark, state).select("word", F.col("count").alias("row_count"))
 
 
 @query("stream_stateless", "SELECT unnest(string_split(text, ' ')) AS word FROM conversations")
@@ -62,5 +77,5 @@ def stream_simulated_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     replayed = replay_table(table(spark, sf_dir, "events").select("event_id", "event_type"))
     counts = replayed.groupBy("event_type").agg(F.count(F.lit(1)).alias("row_count"))
     path = shared_dir(spark, "event-counts")
-    drain(complete_to_files(counts, path))
-    return spark.read.schema("event_type string, row_count bigint").parquet(path)
+    drain(publish_complete(counts, path))
+    return read_published(spark, path, "event_type string, row_count bigint")
