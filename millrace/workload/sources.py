@@ -66,6 +66,18 @@ def src_csv_dropmalformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, _orders_csv(spark, sf_dir, _broken_price()), schema=ORDERS_SCHEMA)
 
 
+@query(
+    "src_csv_one_column",
+    """SELECT o_orderstatus, count(*) AS row_count, (SELECT count(*) FROM orders WHERE o_orderkey % 10 <> 0) AS all_rows
+       FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY 1""",
+)
+def src_csv_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good column of rows that have a bad value in another one: they are dropped all the same."""
+    orders = scan_csv(spark, _orders_csv(spark, sf_dir, _broken_price()), schema=ORDERS_SCHEMA)
+    counts = group_count(orders, ["o_orderstatus"], "row_count")
+    return counts.withColumn("all_rows", F.lit(orders.count()).cast("bigint"))
+
+
 @query(
     "src_csv_quarantine",
     """SELECT o_orderkey, o_orderkey % 10 = 0 AS is_malformed,

@@ -57,24 +57,6 @@ def discard(spark: SparkSession, *paths: str) -> None:
         spark.createDataFrame([], "gone int").coalesce(1).write.mode("overwrite").parquet(path)
 
 
-class Scratch:
-    """Staged tables of one job, each of which can be dropped as soon as nothing reads it."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.places = spark, {}
-
-    def stage(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = shared_dir(self.spark, purpose)
-        df.write.parquet(path)
-        table = self.spark.read.schema(df.schema).parquet(path)
-        self.places[id(table)] = (table, path)
-        return table
-
-    def drop(self, *tables: DataFrame) -> None:
-        """Delete what these tables hold; they and all that was derived from them are spent."""
-        discard(self.spark, *(self.places.pop(id(t))[1] for t in tables))
-
-
 def measure(df: DataFrame) -> tuple[int, int]:
     """Rows, and their size as text, which bounds what a broadcast of them would hold."""
     size = F.octet_length(F.to_json(F.struct("*"))).cast("bigint")

@@ -127,3 +127,28 @@ def test_staged_tables_are_deleted(spark):
         path = df.inputFiles()[0]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def test_a_summary_of_too_many_rows_is_refused_before_anything_is_written(spark, tmp_path):
+    rows = spark.range(50)
+    with pytest.raises(ValueError, match="more than 49 rows"):
+        sinks.write_csv_summary(rows, f"{tmp_path}/many", max_rows=49)
+    assert not (tmp_path / "many").exists()
+    sinks.write_csv_summary(rows, f"{tmp_path}/all", max_rows=50)
+    assert sources.scan_csv(spark, f"{tmp_path}/all").count() == 50
+
+
+def test_malformed_rows_are_judged_whole_whatever_is_selected(spark, tmp_path):
+    """Bad values, missing and surplus ones, and line breaks inside quotes."""
+    (tmp_path / "in.csv").write_text('a,b,c\n1,2,x\nbad,3,y\n4,bad,z\n5,6\n7,8,w,9\n10,11,"line\nbreak"\n12,13,v\n')
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType()), T.StructField("c", T.StringType())])
+    good = sources.scan_csv(spark, str(tmp_path), schema=schema, multiLine="true", lineage_pattern=r"(\w+)\.csv")
+    kept = [(1, 2, "x", "in"), (10, 11, "line\nbreak", "in"), (12, 13, "v", "in")]
+    assert sorted(map(tuple, good.collect())) == kept and good.count() == 3
+    for i, name in enumerate(good.columns):
+        assert sorted(r[0] for r in good.select(name).collect()) == sorted(k[i] for k in kept)
+    every = sources.quarantine_csv(spark, str(tmp_path), schema, multiLine="true")
+    bad = every.filter("_corrupt_record IS NOT NULL")
+    assert every.count() == 7 and bad.count() == 4 and every.select("c").count() == 7
+    assert {r[0] for r in every.select("_corrupt_record").collect()} == {None, "bad,3,y", "4,bad,z", "5,6", "7,8,w,9"}
+    assert every.filter("_corrupt_record IS NULL").select("b").count() == 3
