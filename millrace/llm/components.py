@@ -1,7 +1,8 @@
 """Connected components by alternating large-star and small-star steps, in SQL.
 
 Each step hangs nodes on the smallest neighbour they know.  Edges are written to the shared
-folder after every round, so that a lost executor costs one round at most.  Groups
+folder after every round, so that a lost executor costs one round at most; the round before is then
+deleted.  Groups
 are reduced by map-side minima; a node with very many edges is only a frequent join key,
 which adaptive execution splits.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from .frames import Scratch
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -41,10 +42,11 @@ def components(links: DataFrame) -> DataFrame:
     Loops and nulls are dropped; links may repeat and point either way; no links give no
     rows."""
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
-    edges = stage(edges, "links")
+    scratch = Scratch(links.sparkSession)
+    edges = scratch.keep(edges, "links")
     mark = _mark(edges)
     while mark[0]:
-        edges = stage(_star(_star(edges, True), False), "links")
+        edges = scratch.keep(_star(_star(edges, True), False), "links")
         before, mark = mark, _mark(edges)
         if before == mark:
             break

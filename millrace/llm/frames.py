@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import discard, shared_dir
+
 LEAST = -(2**63)
 
 
@@ -25,6 +27,26 @@ def keyed(docs: DataFrame, *more: Column) -> DataFrame:
     )
 
 
+class Scratch:
+    """Written tables of one job; each is deleted as soon as nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and continue from the written table; an older one of the same name goes."""
+        path = shared_dir(self.spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete these tables; nothing lazy may still read them."""
+        discard(self.spark, *(self.paths.pop(n) for n in names if n in self.paths))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
