@@ -99,3 +99,17 @@ def test_large_groups_pass_one_shuffle_and_no_window(skewed):
 def test_no_cuts_for_small_groups(skewed):
     assert ranking.fit_range_cuts(skewed, ["k"], ["v"]) is None
     assert ranking.fit_range_cuts(skewed.limit(0), ["k"], ["v"]) is None
+
+
+def test_ranges_do_not_grow_with_the_rows(skewed, monkeypatch):
+    """Many more rows than the ranges allowed may hold by ``rows_per_task``: longer ranges, same results."""
+    monkeypatch.setattr(ranking, "MOST_PIECES", 7)
+    most = max(7, 2 * skewed.sparkSession.sparkContext.defaultParallelism)
+    rows, order = skewed.withColumn("w", F.col("id") % 13), ["v", "id"]
+    cuts = ranking.fit_range_cuts(rows, ["k"], order, rows_per_task=2)
+    assert cuts is not None and cuts.pieces == most and cuts.rows > 1000
+    assert collected(ranking.number_rows(rows, ["k"], order, "n", cuts)) == collected(ranking.number_rows(rows, ["k"], order, "n"))
+    assert collected(ranking.rank_rows(rows, ["k"], ["v"], "n", cuts)) == collected(ranking.rank_rows(rows, ["k"], ["v"], "n"))
+    ranged, plain = (ranking.prefix_sums(rows, ["k"], order, "w", "before", n) for n in (2, 4_000_000))
+    assert collected(ranged) == collected(plain)
+    assert ranking.LargeGroups(cuts.table, 216_000_000, ("k",), ("v",), 600).pieces == most
