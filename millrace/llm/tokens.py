@@ -3,20 +3,23 @@
 Both vocabularies split text before they merge, so the ids of a text are those of its
 chunks laid end to end, as long as no chunk boundary lies inside what the vocabulary's
 own pattern keeps together.  Texts for which that is not certain go to the library whole.
-The ids of chunks seen before come from a bounded table in the worker process.
+The ids of chunks seen before come from a bounded table in the worker process.  New chunks of
+printable ASCII and Latin-1 letters are taken apart by the vocabulary's own pattern, and only parts
+not seen before go to the library's merges; other new chunks go through all of the library.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Distinct chunks remembered by a worker; then the table starts anew.
-REMEMBERED = 600_000
+#: Distinct chunks, and distinct parts, remembered by a worker; then that table starts anew.
+REMEMBERED, PARTS_REMEMBERED = 600_000, 300_000
 _MARK = "\x1f"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _DOUBLE = re.compile(r"\s\s")
@@ -39,11 +42,24 @@ def _at_white_space(text: str) -> list[str] | None:
 #: How a vocabulary's texts may be cut, by the kind named in the query.
 CUTS: dict[str, Callable[[str], list[str] | None]] = {"byte": _at_spaces, "word": _at_white_space}
 
+_ENDINGS, _LATIN = "'(?:s|t|re|ve|m|ll|d)", "À-ÖØ-öø-ÿ"
+#: Chunks of printable ASCII and Latin-1 letters, and the vocabulary's pattern as far as it concerns them.
+PLAIN = {"byte": re.compile(f" ?[!-~{_LATIN}]+"), "word": re.compile(f"[!-~{_LATIN}]+")}
+PARTS = {
+    "byte": re.compile(f"{_ENDINGS}| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^ A-Za-z0-9{_LATIN}]+"),
+    "word": re.compile(f"{_ENDINGS}|[a-z{_LATIN}]+|[0-9]|[^a-z0-9{_LATIN}]+"),
+}
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+#: Byte-level vocabularies write the bytes that cannot be printed as letters from U+0100 on.
+_BYTE_LEVEL = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
 
 class Encoder:
     def __init__(self, path: str, cut: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = CUTS[cut]
+        self.cut, self.plain, self.apart = CUTS[cut], PLAIN[cut], PARTS[cut]
+        self.lower, self.model = cut == "word", self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self._forget()
@@ -53,10 +69,31 @@ class Encoder:
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.flat, self.used = np.zeros(4096, np.uint32), 0
 
+    def _merged(self, part: str) -> bytes:
+        """The ids of a part, as the library's model merges its byte-level form."""
+        form = part.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        found = array("I", [t.id for t in self.model.tokenize(form)]).tobytes()
+        self.parts[part] = found
+        return found
+
     def _learn(self, chunks: list[str]) -> None:
-        found = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, np.uint32)
-        lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(chunks)) if len(ids) else np.zeros(len(chunks), np.int64)
+        plain = [c for c in chunks if self.plain.fullmatch(c)]
+        if len(self.parts) > PARTS_REMEMBERED:
+            self.parts = {}
+        of = self.parts
+        coded = [
+            b"".join([of.get(p) or self._merged(p) for p in self.apart.findall(c.lower() if self.lower else c)]) for c in plain
+        ]
+        self._add(plain, np.frombuffer(b"".join(coded), np.uint32), np.fromiter(map(len, coded), np.int64, len(coded)) // 4)
+        if len(plain) < len(chunks):
+            other = [c for c in chunks if not self.plain.fullmatch(c)]
+            found = self.tokenizer.encode(other, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            own = np.array(found.word_ids, np.int64) if len(ids) else np.zeros(0, np.int64)
+            self._add(other, ids, np.bincount(own, minlength=len(other)))
+
+    def _add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Remember chunks whose ids, laid end to end, have these lengths."""
         first, n = len(self.known), len(self.known) + len(chunks)
         while n > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
@@ -73,15 +110,19 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self._forget()
         cuts = [None if self.special and self.special.search(t) else self.cut(t) for t in texts]
-        new = list(dict.fromkeys(c for cut in cuts if cut for c in cut if c not in self.known))
+        places = [None if cut is None else list(map(self.known.get, cut)) for cut in cuts]
+        missing = [cut and None in place for cut, place in zip(cuts, places)]
+        new = dict.fromkeys(c for cut, place, some in zip(cuts, places, missing) if some for c, i in zip(cut, place) if i is None)
         if new:
-            self._learn(new)
+            self._learn(list(new))
         out = []
-        for text, cut in zip(texts, cuts):
+        for text, cut, place, some in zip(texts, cuts, places, missing):
             if cut is None:
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
-            which = np.fromiter(map(self.known.__getitem__, cut), np.int64, len(cut))
+            if some:
+                place = [self.known[c] if i is None else i for c, i in zip(cut, place)]
+            which = np.array(place, np.int64)
             lengths = self.lengths[which]
             ends = np.cumsum(lengths)
             total = int(ends[-1]) if len(ends) else 0

@@ -34,6 +34,20 @@ def test_chunks_give_the_library_ids(name, cut):
             assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name,cut", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_new_words_around_known_parts_are_not_merged_anew(name, cut):
+    """Chunks that differ only in what surrounds a word cost no call of the library."""
+    plain = [f"{a}wor{i}ld{b}" for i in range(9) for a in ("", "(", "'") for b in ("", ".", ",", "'s", "'RE", "s'", '."', "-x")]
+    odd = ["".join(chr(c) for c in range(33, 127)), "''s'", "x'sfoo", "..'s", "I'LL", "a1b22c", "_a_", "A.B,C", "'", "'t", "1'd2", "Éa'Sÿ", "×a÷é"]
+    odd += ["".join(chr(c) for c in range(0xC0, 0x100))]
+    text = " ".join([*plain, *odd, *reversed(odd)])
+    library, own = Tokenizer.from_file(vocabulary(name)), Encoder(vocabulary(name), cut)
+    assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    parts = len(own.parts)
+    assert own.encode([" (wor1ld-x wor2ld's ('wor3ld."])[0].tolist() == library.encode(" (wor1ld-x wor2ld's ('wor3ld.", add_special_tokens=False).ids
+    assert 0 < parts and len(own.parts) <= parts + 3 < len(own.known)
+
+
 def test_store_round_trip(spark, table):
     rows = [r for r in corpus(8) if r[0] is not None] + [(9000 + i, t) for i, t in enumerate(ODD)]
     folder = shared_dir(spark, "tokens-test")
