@@ -110,3 +110,18 @@ def test_all_limits_hold(limits):
                 assert start == at
                 at += length
         assert at == n
+
+
+@pytest.mark.parametrize("name,cut", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_chunks_and_parts_are_looked_up_together(name, cut, monkeypatch):
+    """Texts of one call share the look-up and the merges of new parts, whatever lies between them."""
+    monkeypatch.setattr("millrace.llm.tokens.TOGETHER", 3)
+    library, own = Tokenizer.from_file(vocabulary(name)), Encoder(vocabulary(name), cut)
+    calls = []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda chunks: (calls.append(len(chunks)), learn(chunks)))
+    texts = ["", "a  b\x1f", "neu ä,b 'x'", "<|endoftext|>", "", "漢字 neu, ä", "\n", " ".join(f"w{i}'s" for i in range(20)), "a  b\x1f"]
+    for _ in range(2):
+        assert [i.tolist() for i in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(calls) == 1
+    assert own.encode([]) == []
